@@ -92,22 +92,22 @@ def canonical_title(raw_title) -> Column:
 
 
 def _any_contains(value: Column, needles) -> Column:
-    cond = None
-    for n in needles:
-        c = value.contains(n)
-        cond = c if cond is None else (cond | c)
-    return cond
+    """Substring test for any of ``needles``: ONE regex of quoted literals."""
+    return value.rlike("(?s)" + "|".join(r"\Q" + n + r"\E" for n in needles))
 
 
 def geo_tag(location, strict: bool = False) -> Column:
-    """US -> two-letter state suffix -> UK -> EU -> APAC -> Other; null -> Other.
+    r"""US -> two-letter state suffix -> UK -> EU -> APAC -> Other; null -> Other.
 
-    ``strict=True`` is an opt-in correction that tests UK/EU before the
-    two-letter suffix, so "London, UK" and "Berlin, DE" stop tagging as US.
+    Keyword groups are substring tests on ``lower(location)``; the state rule is
+    case-sensitive on the trimmed text (``\s*$`` absorbs trailing whitespace, so
+    no trim pass is needed). ``strict=True`` is an opt-in correction that tests
+    UK/EU before the two-letter suffix, so "London, UK" and "Berlin, DE" stop
+    tagging as US.
     """
     loc = _col(location)
     low = F.lower(loc)
-    state = unicode_trim(loc).rlike(_CS + US_STATE_PATTERN)
+    state = loc.rlike(_CS + US_STATE_PATTERN[:-1] + r"\s*$")
     us = _any_contains(low, US_MARKERS)
     uk = _any_contains(low, UK_MARKERS)
     eu = _any_contains(low, EU_COUNTRIES)
@@ -126,7 +126,7 @@ def seniority(raw_title, level_hint=None) -> Column:
     expr = None
     if level_hint is not None:
         hint = F.lower(_col(level_hint))
-        for needles, label in HINT_RULES:
+        for needles, label in HINT_RULES:  # substring tests, as `in hint.lower()`
             cond = _any_contains(hint, needles)
             expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     for pattern, label in SENIORITY_RULES:

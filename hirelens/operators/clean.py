@@ -19,12 +19,14 @@ from hirelens.sources import fixtures as fx
 def tag_postings(raw: DataFrame, *, use_hint: bool = True, strict_geo: bool = False) -> DataFrame:
     """T1-T3, T7, T12, T14 then finalise (T5, T6, T13) for a raw frame with columns
     native_id, source, raw_title, location, [level_hint], company, date, description_text."""
-    title = rules.unicode_trim("raw_title")
+    # Rules are word-bounded *searches*: surrounding whitespace never changes a
+    # match, so they run on the raw text and only the output column is trimmed.
+    title = F.col("raw_title")
     hint = F.col("level_hint") if (use_hint and "level_hint" in raw.columns) else None
     tagged = raw.select(
         F.concat(F.col("source"), F.lit(":"), F.col("native_id").cast("string")).alias("posting_id"),
         "source", "date",
-        title.alias("raw_title"),
+        rules.unicode_trim(title).alias("raw_title"),
         rules.canonical_title(title).alias("canonical_title"),
         company_clean("company").alias("company"),
         rules.geo_tag("location", strict=strict_geo).alias("geo"),

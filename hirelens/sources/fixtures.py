@@ -58,8 +58,23 @@ TEXT_ALIASES = ["the", "of the", "that", "que", "der", "la"]
 # ---------------------------------------------------------------------------
 
 
+FACT_TABLES = {"orders", "lineitem", "documents", "pages", "events", "conversations", "embeddings"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Scan parallelism guard: a fact scan with fewer splits than task slots (one
+    small file / one row group) is round-robin repartitioned to the default
+    parallelism. On a cluster-sized input it has far more splits than slots and
+    this is a no-op (no shuffle added)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in FACT_TABLES else df
 
 
 def _pick(values, idx_col):
