@@ -102,8 +102,8 @@ def geo_tag(location, strict: bool = False) -> Column:
     Keyword groups are substring tests on ``lower(location)``; the state rule is
     case-sensitive on the trimmed text (``\s*$`` absorbs trailing whitespace, so
     no trim pass is needed). ``strict=True`` is an opt-in correction that tests
-    UK/EU before the two-letter suffix, so "London, UK" and "Berlin, DE" stop
-    tagging as US.
+    UK/EU keywords before the two-letter suffix, so "London, UK" stops tagging
+    as US (ISO codes such as "Berlin, DE" still need a country name to leave US).
     """
     loc = _col(location)
     low = F.lower(loc)
