@@ -1,2 +1,2 @@
 """Query plans: analysis/audit operators and the registered query modules."""
-from hirelens.plans import q_analysis, q_clean, q_taxonomy  # noqa: F401
+from hirelens.plans import q_analysis, q_clean, q_taxonomy, q_text  # noqa: F401
