@@ -304,3 +304,26 @@ def parse_csv_responses(spark, sf):
     doc = c.groupBy("batch").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body"))
     text = F.concat(F.col("body"), F.lit("\noops"))
     return P.parse_csv_responses(doc.select(F.col("batch").alias("response_id"), text.alias("text")))
+
+
+# ---- S12 / T11 ---------------------------------------------------------------------------
+@register("analysis_tables", with_views("clean", body="""
+SELECT snapshot, canonical_title, count(*) AS n FROM clean GROUP BY snapshot, canonical_title"""))
+def analysis_tables(spark, sf):
+    """An analysis result written as a header CSV table and read back typed."""
+    c = clean_postings(spark, sf)
+    t = c.groupBy("snapshot", "canonical_title").agg(F.count(F.lit(1)).alias("n"))
+    path = IO.write_analysis_table(t, IO.scratch_path(spark, "outputs"), "role_counts")
+    return IO.read_csv(spark, path, "snapshot int, canonical_title string, n long")
+
+
+@register("anchor_dates", with_views("postings_raw", body="""
+SELECT source || ':' || CAST(native_id AS VARCHAR) AS posting_id, DATE '2020-01-01' AS date, 2020 AS year,
+       '2020Q1' AS quarter FROM postings_raw WHERE source = 'board_a'"""))
+def anchor_dates(spark, sf):
+    """T11 + T5/T6: a source without dates gets the period-anchor date, then year and quarter."""
+    from hirelens.schema import finalise
+    raw = fx.postings_raw(spark, sf, with_text=False).filter(F.col("source") == "board_a")
+    t = raw.select(F.concat("source", F.lit(":"), F.col("native_id").cast("string")).alias("posting_id"),
+                   dates.anchor_date("2020-01-01").alias("date"))
+    return finalise(t, "board_a").select("posting_id", "date", "year", "quarter")

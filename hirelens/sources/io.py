@@ -167,3 +167,11 @@ def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     """One row per alias from ``canonical_name, aliases (a|b|c), category, introduced``."""
     t = read_csv(spark, path, TAXONOMY_SCHEMA)
     return t.select("canonical_name", F.explode(F.split("aliases", r"\|")).alias("alias"), "category", "introduced")
+
+
+# ---- S12: analysis-table sinks ----------------------------------------------------------
+def write_analysis_table(df: DataFrame, root: str, name: str) -> str:
+    """One header CSV folder per analysis under ``root/tables/<name>``."""
+    path = f"{root.rstrip('/')}/tables/{name}"
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    return path
