@@ -37,7 +37,6 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
 from hirelens.functions.rules import unicode_trim
-from hirelens.operators.taxonomy import dim
 from hirelens.session import cut_lineage
 
 # The collision threshold and the audited lower band edge.
@@ -108,10 +107,11 @@ def _chars(key):
 
 def _prefix_tokens(strings: DataFrame, tokens_col: str, keep_col: str) -> DataFrame:
     """Explode (name, token), rank each string's tokens by global rarity, keep the
-    first ``keep_col`` of them. The rarity table is one row per distinct token."""
+    first ``keep_col`` of them. The rarity table is one row per distinct token; AQE
+    broadcasts it at run time when its materialised size is small."""
     ex = strings.select("name", keep_col, F.explode(tokens_col).alias("tok"))
     freq = ex.groupBy("tok").agg(F.count(F.lit(1)).alias("_f"))
-    ranked = ex.join(dim(freq), "tok").withColumn(
+    ranked = ex.join(freq, "tok").withColumn(
         "_r", F.row_number().over(Window.partitionBy("name").orderBy("_f", "tok")))
     return ranked.filter(F.col("_r") <= F.col(keep_col)).select("name", "tok")
 
@@ -155,17 +155,23 @@ def _variant_pairs(short: DataFrame, t: float) -> DataFrame:
     emits every variant with k <= tau deletions; side B lists the deletion counts
     of side A it may meet (k_a <= smax(|v|) - k_b), so the equi-join on
     (variant, k_a) only forms passing pairs, and min(k_a + k_b) is the distance."""
-    cur = short.select("name", F.col("key").alias("v"), F.lit(0).alias("k"), F.lit(1).alias("nxt"), "tau")
-    levels = [cur]
+    # every level in ONE projection: level k = one more deletion of each level k-1
+    # variant (positions increasing), kept only when k <= tau of the string
     max_tau = short.agg(F.max("tau")).first()[0] or 0
+
+    def tag_k(k):
+        return lambda x: F.struct(x["v"].alias("v"), F.lit(k).alias("k"))
+
+    def delete_one(x):
+        return _one_deletions(x["v"], x["nxt"])
+
+    empty = F.array().cast("array<struct<v:string,k:int>>")
+    level = F.array(F.struct(F.col("key").alias("v"), F.lit(1).alias("nxt")))
+    arrays = [F.transform(level, tag_k(0))]
     for k in range(1, int(max_tau) + 1):
-        cur = (cur.filter(F.col("tau") >= k)
-               .select("name", F.inline(_one_deletions(F.col("v"), F.col("nxt"))), F.lit(k).alias("k"), "tau")
-               .select("name", "v", "k", "nxt", "tau"))
-        levels.append(cur)
-    var = levels[0]
-    for lv in levels[1:]:
-        var = var.unionByName(lv)
+        level = F.flatten(F.transform(level, delete_one))
+        arrays.append(F.when(F.col("tau") >= k, F.transform(level, tag_k(k))).otherwise(empty))
+    var = short.select("name", F.inline(F.flatten(F.array(*arrays))))
     var = var.select("name", "v", "k", F.char_length("v").alias("lv"))
     smax = F.floor(2.0 * F.col("lv") * (100.0 - t) / t + 1e-9).cast("int")
     a = var.select(F.col("name").alias("a"), "v", F.col("k").alias("ka"))
