@@ -36,7 +36,13 @@ def persisted(spark, sf_dir: str, name: str, build, partition_cols=()) -> DataFr
         if path is None:
             tag = hashlib.sha1(f"{app}|{sf_dir}".encode()).hexdigest()[:12]
             path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{tag}"
-            w = build().write.mode("overwrite")
+            df = build()
+            if partition_cols:
+                # rebalance on the partition columns: AQE coalesces small output
+                # partitions and splits skewed ones, so each (source, year) folder
+                # gets few, evenly sized files instead of one file per task
+                df = df.hint("rebalance", *partition_cols)
+            w = df.write.mode("overwrite")
             if partition_cols:
                 w = w.partitionBy(*partition_cols)
             w.parquet(path)

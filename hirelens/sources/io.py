@@ -80,7 +80,7 @@ def resolve_column(df: DataFrame, candidates: list[str], alias: str, per_row: bo
 # ---- S5/S6/S7: unified parquet sinks and read-back check ---------------------
 def write_unified(df: DataFrame, path: str, partition_cols=("source", "year")) -> None:
     """Partitioned parquet (partition pruning for source / year predicates)."""
-    df.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+    df.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
 
 
 def write_clean(df: DataFrame, path: str) -> None:
