@@ -2,7 +2,7 @@
 
 Operator-level queries (dedup, mapping, extraction, ...) compute from the raw
 tables every time. The analysis queries read the *persisted* pipeline output,
-as the reference's analysis reads its cleaned parquet: the unified postings
+as an analysis reads a cleaned postings table: the unified postings
 with ``skills_present`` filled (J4) are written once per session and scale
 factor as parquet partitioned by (source, year) under the shared checkpoint
 folder (``spark.checkpoint.dir``), then read back - lineage is cut, the write
@@ -78,7 +78,7 @@ def build_final_postings(spark, sf_dir: str) -> DataFrame:
 
 def final_postings(spark, sf_dir: str) -> DataFrame:
     """The persisted unified table (13 columns, skills attached)."""
-    return persisted(spark, sf_dir, "postings_unified", lambda: build_final_postings(spark, sf_dir),
+    return persisted(spark, sf_dir, "unified_postings", lambda: build_final_postings(spark, sf_dir),
                      ("source", "year"))
 
 

@@ -55,9 +55,9 @@ def src_csv(spark, sf):
 
 # ---- S3 / S4 -------------------------------------------------------------------------
 _SLICES = {  # tag -> (source, id, title, text, company, location, date) column names
-    "greenhouse": ("board_a", "id", "title", "description_html", "source_slug", "locations", "posted_at"),
-    "lever": ("network_b", "job_id", "name", "description", "company", "location", "created_at"),
-    "ashby": ("ats_c", "external_id", "job_title", "content", "company_name", "office_locations", "updated_at"),
+    "feed_a": ("board_a", "id", "title", "description_html", "source_slug", "locations", "posted_at"),
+    "feed_b": ("network_b", "job_id", "name", "description", "company", "location", "created_at"),
+    "feed_c": ("ats_c", "external_id", "job_title", "content", "company_name", "office_locations", "updated_at"),
 }
 
 
@@ -78,7 +78,7 @@ def _write_slices(spark, sf) -> dict[str, str]:
 
 
 @register("src_tagged_union", with_views("postings_raw", body="""
-SELECT CASE source WHEN 'board_a' THEN 'greenhouse' WHEN 'network_b' THEN 'lever' ELSE 'ashby' END AS _ats,
+SELECT CASE source WHEN 'board_a' THEN 'feed_a' WHEN 'network_b' THEN 'feed_b' ELSE 'feed_c' END AS _ats,
        count(*) AS n_rows,
        count(*) FILTER (WHERE source = 'board_a' AND raw_title IS NOT NULL) AS n_title_resolved
 FROM postings_raw GROUP BY 1"""))
@@ -93,7 +93,7 @@ def src_tagged_union(spark, sf):
 
 
 @register("src_resolve_columns", with_views("postings_raw", body="""
-SELECT CASE source WHEN 'board_a' THEN 'greenhouse' WHEN 'network_b' THEN 'lever' ELSE 'ashby' END AS _ats,
+SELECT CASE source WHEN 'board_a' THEN 'feed_a' WHEN 'network_b' THEN 'feed_b' ELSE 'feed_c' END AS _ats,
        native_id, raw_title AS title, company, coalesce(location, '') AS location, date
 FROM postings_raw"""))
 def src_resolve_columns(spark, sf):
@@ -101,8 +101,8 @@ def src_resolve_columns(spark, sf):
     location of a list; ISO-8601 UTC text -> date."""
     u = IO.read_tagged_union(spark, _write_slices(spark, sf))
     loc = F.coalesce(first_location(F.col("locations")), F.lit(""))
-    loc = F.when(F.col("_ats") == "greenhouse", first_location(F.col("locations"))) \
-        .when(F.col("_ats") == "ashby", first_location(F.col("office_locations"))) \
+    loc = F.when(F.col("_ats") == "feed_a", first_location(F.col("locations"))) \
+        .when(F.col("_ats") == "feed_c", first_location(F.col("office_locations"))) \
         .otherwise(first_location(F.col("location"), is_array=False))
     ts = dates.iso_to_naive_utc(IO.resolve_column(u, ["posted_at", "created_at", "updated_at"], "d", per_row=True))
     return u.select("_ats",
