@@ -174,7 +174,7 @@ def _variant_pairs(short: DataFrame, t: float) -> DataFrame:
     var = short.select("name", F.inline(F.flatten(F.array(*arrays))))
     var = var.select("name", "v", "k", F.char_length("v").alias("lv"))
     smax = F.floor(2.0 * F.col("lv") * (100.0 - t) / t + 1e-9).cast("int")
-    a = var.select(F.col("name").alias("a"), "v", F.col("k").alias("ka"))
+    a = var.filter(F.col("k") <= smax).select(F.col("name").alias("a"), "v", F.col("k").alias("ka"))
     b = var.filter(F.col("k") <= smax).select(
         F.col("name").alias("b"), "v", F.col("k").alias("kb"),
         F.explode(F.sequence(F.lit(0), smax - F.col("k"))).alias("ka"))
@@ -187,7 +187,7 @@ def _prefix_pairs(long_: DataFrame, base: DataFrame, t: float) -> DataFrame:
     equi-join (occurrence-numbered bigrams, 2 tau + 1 rarest; unsafe strings emit
     all bigrams, and unsafe x unsafe pairs use a character prefix)."""
     def band_join(pref_df):
-        lens = base.select("name", "L")
+        lens = long_.select("name", "L")
         pa = pref_df.join(lens, "name").select(F.col("name").alias("a"), "tok", F.col("L").alias("la"))
         lo = F.ceil(F.col("L") * t / (200.0 - t) - 1e-9).cast("int")
         pb = pref_df.join(lens, "name").select(F.col("name").alias("b"), "tok", F.col("L").alias("lb"),
