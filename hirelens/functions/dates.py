@@ -24,19 +24,26 @@ def quarter_label(date_col) -> Column:
                   F.concat(F.year(d).cast("string"), F.lit("Q"), F.quarter(d).cast("string")))
 
 
+def _ntz_utc(ltz) -> Column:
+    """Instant -> its UTC wall clock as timestamp_ntz, whatever the session time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ltz.cast("timestamp_ntz"))
+
+
+def utc_instant(ntz_utc) -> Column:
+    """A timestamp_ntz holding a UTC wall clock -> the instant (timestamp), session-zone independent."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), _col(ntz_utc)).cast("timestamp")
+
+
 def epoch_ms_to_date(c) -> Column:
-    """Epoch milliseconds -> DATE (UTC); bad values -> null."""
+    """Epoch milliseconds -> UTC calendar date; bad values -> null."""
     ms = _col(c).try_cast("bigint")
-    return F.to_date(F.timestamp_millis(ms).cast("timestamp_ntz"))
+    return F.to_date(_ntz_utc(F.timestamp_millis(ms)))
 
 
 def iso_to_naive_utc(c) -> Column:
     """ISO-8601 text with offset -> naive UTC timestamp (timestamp_ntz); bad -> null.
-
-    Parsed with the session time zone pinned to UTC (see ``session.py``), so
-    the offset is applied and then dropped.
-    """
-    return F.try_to_timestamp(_col(c)).cast("timestamp_ntz")
+    The offset is applied and dropped independently of the session time zone."""
+    return _ntz_utc(F.try_to_timestamp(_col(c)))
 
 
 def anchor_date(value: str = "2020-01-01") -> Column:

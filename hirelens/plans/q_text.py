@@ -246,7 +246,7 @@ def audit_flags(spark, sf, flags=("quality", "toxic")):
 SELECT event_id, CAST(ts AS DATE) AS date FROM events""")
 def epoch_ms_date(spark, sf):
     """Events.ts rendered as epoch milliseconds (text), parsed back to a UTC date."""
-    ev = fx.table(spark, sf, "events").select("event_id", F.unix_millis(F.col("ts").cast("timestamp"))
+    ev = fx.table(spark, sf, "events").select("event_id", F.unix_millis(dates.utc_instant("ts"))
                                               .cast("string").alias("ms"))
     return ev.select("event_id", dates.epoch_ms_to_date("ms").alias("date"))
 
