@@ -19,6 +19,21 @@ RECOMMENDED_CONF = {
 }
 
 
+# Settings for a large cluster (~100 TB inputs), applied by the job submission:
+# AQE sizes shuffle partitions from the data (advisory 256 MB), splits skewed
+# join partitions, scans read 256 MB splits, and broadcasts stay below 64 MB.
+CLUSTER_CONF = {
+    **RECOMMENDED_CONF,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.shuffle.partitions": "20000",
+}
+
+
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
                 app_name: str = "hirelens", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app_name)
