@@ -2,7 +2,7 @@
 
 Each view is defined twice, identically: as a PySpark builder (used by the
 engine) and as a SQL snippet (used by the DuckDB oracle in
-``hirelens.plans.oracle``). The views are projections of ``orders`` /
+``hirelens.plans.registry``). The views are projections of ``orders`` /
 ``lineitem`` / ``part`` / ``documents``, so their size grows with the tables.
 """
 from __future__ import annotations
