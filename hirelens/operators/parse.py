@@ -21,13 +21,15 @@ def strip_fence(text_col):
 
 def parse_json_responses(resp: DataFrame) -> DataFrame:
     """Fenced or bare JSON object -> map; else the first ``{`` .. last ``}`` span;
-    anything that is not an object -> nothing. Long output ``(response_id, key, pos, term)``."""
+    anything that is not an object -> nothing. Long output ``(response_id, key, pos, term)``;
+    an empty list keeps its key with a null term."""
     t = strip_fence(F.col("text"))
     direct = F.from_json(t, EXTRACTIONS_TYPE)
     span = F.from_json(F.regexp_extract(t, r"(?s)(\{.*\})", 1), EXTRACTIONS_TYPE)
     m = F.coalesce(direct, span, F.create_map().cast(EXTRACTIONS_TYPE))
     kv = resp.select("response_id", F.explode(m).alias("key", "terms"))
-    return kv.select("response_id", "key", F.posexplode("terms").alias("pos", "term")).select(
+    # posexplode_outer: a key with an empty list is kept (pos/term null) - "extracted none"
+    return kv.select("response_id", "key", F.posexplode_outer("terms").alias("pos", "term")).select(
         "response_id", "key", (F.col("pos") + 1).cast("int").alias("pos"), "term")
 
 
