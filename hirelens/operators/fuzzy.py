@@ -182,7 +182,7 @@ def _variant_pairs(short: DataFrame, t: float) -> DataFrame:
     return j.groupBy("a", "b").agg(F.min(F.col("ka") + F.col("kb")).alias("indel"))
 
 
-def _prefix_pairs(long_: DataFrame, base: DataFrame, t: float) -> DataFrame:
+def _prefix_pairs(long_: DataFrame, base: DataFrame, t: float, with_chars: bool = True) -> DataFrame:
     """Candidate pairs among ``long_`` strings from a length-banded bigram-prefix
     equi-join (occurrence-numbered bigrams, 2 tau + 1 rarest; unsafe strings emit
     all bigrams, and unsafe x unsafe pairs use a character prefix)."""
@@ -200,6 +200,8 @@ def _prefix_pairs(long_: DataFrame, base: DataFrame, t: float) -> DataFrame:
     grams = long_.select("name", _numbered(_bigrams(F.col("key"))).alias("toks"),
                          F.when(F.col("safe"), 2 * F.col("tau") + 1).otherwise(F.col("G")).alias("keep"))
     by_gram = band_join(_prefix_tokens(grams, "toks", "keep"))
+    if not with_chars:
+        return by_gram.distinct()
     unsafe = long_.filter(~F.col("safe"))
     chars = unsafe.select("name", _numbered(_chars(F.col("key"))).alias("toks"), (F.col("tau") + 1).alias("keep"))
     by_char = band_join(_prefix_tokens(chars, "toks", "keep"))
@@ -236,17 +238,16 @@ def fuzzy_pairs(names: DataFrame, threshold: float = COLLISION_THRESHOLD, name_c
     by_variant = _variant_pairs(short, t)
 
     long_ = base.filter((F.col("tau") >= 1) & (F.col("L") >= lprefix))
-    cand = _prefix_pairs(long_, base, t)
-    ka = base.select(F.col("name").alias("a"), F.col("key").alias("ka"), F.col("L").alias("la"))
-    kb = base.select(F.col("name").alias("b"), F.col("key").alias("kb"), F.col("L").alias("lb"))
-    c = cand.join(ka, "a").join(kb, "b")
-    tot = F.col("la") + F.col("lb")
-    maxd = F.floor((100.0 - t) * tot / 100.0 + 1e-9).cast("int")
-    c = c.filter(F.abs(F.col("la") - F.col("lb")) <= maxd)
-    c = c.withColumn("_maxd", maxd).filter(F.expr("levenshtein(ka, kb, _maxd)") >= 0)
-    by_prefix = c.select("a", "b", _indel_udf("ka", "kb").alias("indel"))
-
-    allp = same.unionByName(by_variant).unionByName(by_prefix).groupBy("a", "b").agg(F.min("indel").alias("indel"))
+    parts = [same, by_variant]
+    if long_.limit(1).count() > 0:        # cheap: base is checkpointed
+        # unsafe keys (too few bigrams for the prefix bound) cannot occur above
+        # lprefix for most thresholds; then the character-prefix branch is skipped
+        chars_needed = any((L - 1) < 2 * _tau_py(L, t) + 1 for L in range(lprefix, 4096))
+        parts.append(_prefix_verified(long_, base, t, chars_needed))
+    allp = parts[0]
+    for p_ in parts[1:]:
+        allp = allp.unionByName(p_)
+    allp = allp.groupBy("a", "b").agg(F.min("indel").alias("indel"))
     la = base.select(F.col("name").alias("a"), F.col("L").alias("la"))
     lb = base.select(F.col("name").alias("b"), F.col("L").alias("lb"))
     r = allp.join(la, "a").join(lb, "b")
@@ -257,6 +258,19 @@ def fuzzy_pairs(names: DataFrame, threshold: float = COLLISION_THRESHOLD, name_c
                                F.round(score, 2).alias("score"))
 
 
+def _prefix_verified(long_: DataFrame, base: DataFrame, t: float, with_chars: bool) -> DataFrame:
+    """Prefix-path candidates with length bound, levenshtein bound and exact LCS indel."""
+    cand = _prefix_pairs(long_, base, t, with_chars)
+    ka = base.select(F.col("name").alias("a"), F.col("key").alias("ka"), F.col("L").alias("la"))
+    kb = base.select(F.col("name").alias("b"), F.col("key").alias("kb"), F.col("L").alias("lb"))
+    c = cand.join(ka, "a").join(kb, "b")
+    tot = F.col("la") + F.col("lb")
+    maxd = F.floor((100.0 - t) * tot / 100.0 + 1e-9).cast("int")
+    c = c.filter(F.abs(F.col("la") - F.col("lb")) <= maxd)
+    c = c.withColumn("_maxd", maxd).filter(F.expr("levenshtein(ka, kb, _maxd)") >= 0)
+    return c.select("a", "b", _indel_udf("ka", "kb").alias("indel"))
+
+
 def fuzzy_band(names: DataFrame, lower: float = BAND_LOWER, upper: float = COLLISION_THRESHOLD,
                name_col: str = "name") -> DataFrame:
     """Pairs scoring in [lower, upper) - the review band below the merge threshold."""
