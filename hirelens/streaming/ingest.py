@@ -51,7 +51,8 @@ def _flag_group(key, pdfs, state):
         state.remove()
         return
     company = key[0]
-    pdf = pd.concat(list(pdfs), ignore_index=True)
+    # keep only what the chain needs from each Arrow chunk of the group
+    pdf = pd.concat([c[["posting_id", "date"]] for c in pdfs], ignore_index=True)
     if pdf.empty:
         return
     if company is None:
