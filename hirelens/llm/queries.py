@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from hirelens.llm import binary_out, mixing, packing, topk
+from hirelens.llm import binary_out, langid, mixing, packing, topk, warc
 from hirelens.llm.common import table
 
 QUERIES = {}
@@ -23,6 +23,20 @@ def query(sql: str | None = None):
     return deco
 
 
+@query("""
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest, coalesce(html, '') AS body FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND coalesce(page_id < last, last IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND coalesce(page_id < last, last IS NOT NULL) THEN last END AS refers_to
+FROM m""")
+def op1_warc_archives(spark, sf_dir):
+    out = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, out, with_payload=False).drop("url")
+
+
 @query(f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {SQL_WORD})) AS size,
@@ -71,6 +85,13 @@ def op5_best_fit_packing(spark, sf_dir):
     return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+@query()
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id")))
+    model = langid.train(docs.where(~F.col("held_out")))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 @query()
 def op9_token_records(spark, sf_dir):
     out = binary_out.write_records(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
