@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from hirelens.llm import binary_out, langid, mixing, packing, topk, warc
+from hirelens.llm import binary_out, langid, mixing, packing, pii, topk, warc
 from hirelens.llm.common import table
 
 QUERIES = {}
@@ -92,6 +92,11 @@ def op7_language_id(spark, sf_dir):
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+@query()
+def op8_personal_data(spark, sf_dir):
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op9_token_records(spark, sf_dir):
     out = binary_out.write_records(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
