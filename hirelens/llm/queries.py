@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from hirelens.llm import binary_out, langid, mixing, packing, pii, topk, warc
+from hirelens.llm import binary_out, langid, mixing, packing, pii, topk, vector_dedup, warc
 from hirelens.llm.common import table
 
 QUERIES = {}
@@ -37,6 +37,23 @@ def op1_warc_archives(spark, sf_dir):
     return warc.read_archives(spark, out, with_payload=False).drop("url")
 
 
+@query("""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r(node, reached) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.node, l.b FROM r JOIN l ON r.reached = l.a),
+c AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON e.vec_id = c.node LEFT JOIN n ON e.vec_id = n.a""")
+def op2_vector_dedup(spark, sf_dir):
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query(f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {SQL_WORD})) AS size,
