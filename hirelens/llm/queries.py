@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from hirelens.llm import binary_out, langid, minhash, mixing, packing, pii, topk, vector_dedup, warc
+from hirelens.llm import binary_out, langid, minhash, mixing, packing, pii, substring, topk, vector_dedup, warc
 from hirelens.llm.common import table
 
 QUERIES = {}
@@ -54,6 +54,27 @@ def op2_vector_dedup(spark, sf_dir):
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query(f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), {SQL_WORD}) AS w FROM documents),
+s AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+r AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM s) WHERE k > 1),
+t AS (SELECT doc_id, w[i] AS w, i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+m AS (SELECT t.*, max(r.i) OVER (PARTITION BY t.doc_id ORDER BY t.i) AS last
+      FROM t LEFT JOIN r ON t.doc_id = r.doc_id AND t.i = r.i),
+k AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE last > i - 20) AS n_removed,
+             string_agg(w, ' ' ORDER BY i) FILTER (WHERE last IS NULL OR last <= i - 20) AS kept
+      FROM m GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id""")
+def op3_repeated_passages(spark, sf_dir):
+    out = substring.without_repeats(table(spark, sf_dir, "documents"), window=20, with_text=False)
+    return out.drop("removed")
+
+
 @query(f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {SQL_WORD})) AS size,
