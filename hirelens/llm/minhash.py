@@ -284,5 +284,6 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 48
     repeat that id, one). Rows without a doc_id stay."""
     kept = near_duplicates(docs, width, percent, k).where("NOT kept").select(F.col("doc_id").alias("_d")).distinct()
     rest = docs.join(kept, F.col("doc_id").cast("long") == F.col("_d"), "left_anti")
-    named = rest.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(rest.where("doc_id IS NULL"))
+    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        rest = rest.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(rest.where("doc_id IS NULL"))
+    return rest
