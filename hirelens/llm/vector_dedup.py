@@ -338,6 +338,7 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.93, overlap: int = 2, s
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label",
                           F.col("embedding").cast("array<double>").alias("e"))
     out = rows.join(per, ["label", "e"], "left")
-    cid = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+    named = F.col("vec_id").isNotNull()
+    cid = F.when(named, F.coalesce("component_id", "vec_id"))
+    return out.select("vec_id", F.coalesce(F.when(named, F.col("n_links")), F.lit(0).cast("long")).alias("n_links"),
                       cid.alias("component_id"), F.coalesce(F.col("vec_id") == cid, F.lit(True)).alias("kept"))
