@@ -1,47 +1,31 @@
 """Global ordering, fixed-size batching and batch payloads.
 
 A global consecutive position is computed without a single-partition window:
-bucket rows by ranges of the order key (boundaries from a bounded sample),
-number rows inside each bucket, and add each bucket's offset from a prefix sum
-over the per-bucket counts (one row per bucket).
+rows are range-partitioned on the order key and sorted inside each range; each
+range's offset comes from a prefix sum over the counts (one row per range).
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hirelens.session import written
 
-def global_positions(df: DataFrame, order_cols, name: str = "row_id", n_buckets: int | None = None) -> DataFrame:
+
+def global_positions(df: DataFrame, order_cols, name: str = "row_id") -> DataFrame:
     """0-based consecutive position of every row in ``order_cols`` order (order must be total).
 
-    Buckets are ranges of the order key itself: boundaries come from a bounded
-    sample (about 40 keys per bucket), each row's bucket is the number of
-    boundaries <= its key, so bucketing depends only on data values (not on
-    physical partitioning or exchange reuse). Rows are numbered inside their
-    bucket (window partitioned by bucket), offsets come from a prefix sum over the
-    per-bucket counts (one row per bucket)."""
+    Rows are dealt to ranges of the order key, sorted inside each and written once to the
+    shared folder with their range and place, so later steps see one fixed numbering. A
+    range's offset is the prefix sum over the counts of the ranges (one row per range)."""
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    spark = df.sparkSession
-    n = n_buckets or max(spark.sparkContext.defaultParallelism * 4, 1)
-    key = F.struct(*[F.col(c) for c in order_cols])
-    total = df.count()
-    frac = min(1.0, 40.0 * n / max(total, 1))
-    sample = [tuple(r) for r in df.select(*order_cols).sample(False, frac, seed=17).orderBy(*order_cols).collect()]
-    bounds = sorted({sample[(i * len(sample)) // n] for i in range(1, n)}) if sample else []
-    if bounds:
-        schema = df.select(*order_cols).schema
-        lits = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, schema.fields)])
-                for b in bounds]
-        bucket = F.size(F.filter(F.array(*lits), lambda b: b <= key))
-    else:
-        bucket = F.lit(0)
-    d = df.withColumn("_b", bucket)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    d = written(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+                .withColumn("_b", F.spark_partition_id()).withColumn("_i", place), "positions")
     counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.select("_b", F.coalesce(F.sum("_n").over(
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    rn = F.row_number().over(Window.partitionBy("_b").orderBy(*order_cols))
-    j = d.withColumn("_rn", rn).join(F.broadcast(offs), "_b")      # one row per bucket: bounded
-    return j.select((F.col("_off") + F.col("_rn") - 1).cast("long").alias(name), *df.columns)
+    return d.join(offs, "_b").select((F.col("_off") + F.col("_i")).cast("long").alias(name), *df.columns)
 
 
 def make_batches(df: DataFrame, order_cols, size: int, name: str = "batch") -> DataFrame:
@@ -67,5 +51,5 @@ def pending_batches(batched: DataFrame, done_ids: DataFrame, key: str, batch: st
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """A reproducible sample of n rows (hash of key and seed; TakeOrdered, no global sort)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """A reproducible sample of n rows (MD5 of seed and key; TakeOrdered, no global sort)."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)).cast("binary")), key).limit(n)

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.functions.text import letter_tokens
-from hirelens.operators.taxonomy import dim
 
 # Negation cues for X2 (a match preceded within NEG_WINDOW
 # tokens by one of these, or followed by "not required", is skipped).
@@ -85,7 +84,7 @@ def extract_skills(docs: DataFrame, taxonomy: DataFrame, id_col: str = "doc_id",
     cands = toks.select("_id", F.inline(_candidates(F.col("_toks"), first_words, max_n, negation)))
     if negation:
         cands = cands.filter(~F.col("neg"))
-    m = cands.join(dim(aliases.select(F.col("alias_key").alias("gram"), "canonical")), "gram")
+    m = cands.join(aliases.select(F.col("alias_key").alias("gram"), "canonical"), "gram")
     return (m.groupBy(F.col("_id").alias(id_col), F.col("canonical").alias("skill"))
             .agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n_matches")))
 
@@ -109,6 +108,6 @@ def cooccurrence(skills_long: DataFrame, n_postings, id_col: str = "posting_id")
     sc = skills_long.groupBy("skill").agg(F.count_distinct(id_col).alias("n"))
     a = sc.select(F.col("skill").alias("skill_a"), F.col("n").alias("n_a"))
     b = sc.select(F.col("skill").alias("skill_b"), F.col("n").alias("n_b"))
-    j = pc.join(dim(a), "skill_a").join(dim(b), "skill_b")
+    j = pc.join(a, "skill_a").join(b, "skill_b")
     return j.select("skill_a", "skill_b", "n_both", F.round(F.col("n_both") / n_postings, 6).alias("support"),
                     F.round(F.col("n_both") / (F.col("n_a") + F.col("n_b") - F.col("n_both")), 6).alias("jaccard"))

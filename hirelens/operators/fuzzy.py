@@ -37,6 +37,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
 from hirelens.functions.rules import unicode_trim
+from hirelens.operators.graph import components
 from hirelens.session import cut_lineage
 
 # The collision threshold and the audited lower band edge.
@@ -278,24 +279,30 @@ def fuzzy_band(names: DataFrame, lower: float = BAND_LOWER, upper: float = COLLI
     return p.filter(F.col("score") < upper)
 
 
-def greedy_clusters(names: DataFrame, pairs: DataFrame, order_col: str = "ord", name_col: str = "name",
-                    max_rounds: int = 1000) -> DataFrame:
-    """Greedy star clusters in ``order_col`` order; returns ``(name, rep, is_rep)``.
-
-    Distributed LFMIS rounds: an undecided name becomes a representative when all
-    its earlier neighbours are dropped; it is dropped when a neighbour is a
-    representative. Each round touches only the pair graph and is checkpointed."""
-    nodes = names.select(F.col(name_col).alias("name"), F.col(order_col).alias("ord"))
-    e = pairs.select(F.col("name_a").alias("u"), F.col("name_b").alias("v"))
-    edges = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    o = nodes.select(F.col("name").alias("v"), F.col("ord").alias("ord_v"))
-    edges = edges.join(o, "v").join(o.select(F.col("v").alias("u"), F.col("ord_v").alias("ord_u")), "u")
-    edges = cut_lineage(edges)
-    status = nodes.select("name", "ord", F.lit("undecided").alias("st"))
-    status = cut_lineage(status)
-    for _ in range(max_rounds):
-        if status.filter(F.col("st") == "undecided").limit(1).count() == 0:
-            break
+def _greedy_component(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One component of the pair graph, names in order: a name joins its earliest adjacent
+    representative, or becomes one."""
+    near: dict[str, list] = {}
+    for u, v, o in zip(pdf["u"], pdf["v"], pdf["ord_u"]):
+        near.setdefault(v, []).append((o, u))
+    order = sorted((o, v) for v, o in dict(zip(pdf["v"], pdf["ord_v"])).items())
+    rep: dict[str, str] = {}
+    reps: set[str] = set()
+    for _, v in order:
+        if not any(u in reps for _, u in near[v]):
+            reps.add(v)
+    for _, v in order:
+        rep[v] = v if v in reps else min(x for x in near[v] if x[1] in reps)[1]
+    return pd.DataFrame({"name": list(rep), "rep": list(rep.values()), "is_rep": [v in reps for v in rep]})
+
+
+def _greedy_rounds(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The same by rounds over the edges, for components too large for one task: an undecided
+    name becomes a representative when all its earlier neighbours are dropped; it is dropped
+    when a neighbour is a representative. Runs until every name is decided."""
+    status = cut_lineage(nodes.select("name", "ord", F.lit("undecided").alias("st")))
+    left = status.count()
+    while left:
         st_u = status.select(F.col("name").alias("u"), F.col("st").alias("st_u"))
         nb = edges.join(st_u, "u").groupBy("v").agg(
             F.max((F.col("st_u") == "rep").cast("int")).alias("has_rep"),
@@ -306,13 +313,42 @@ def greedy_clusters(names: DataFrame, pairs: DataFrame, order_col: str = "ord",
                   .when(F.coalesce("blocked", F.lit(0)) == 0, F.lit("rep"))
                   .otherwise(F.lit("undecided")))
         status = cut_lineage(s.select("name", "ord", new_st.alias("st")))
+        before, left = left, status.filter(F.col("st") == "undecided").count()
+        if left == before:
+            raise RuntimeError(f"greedy_clusters: {left} names stay undecided (is the order total?)")
     reps = status.filter(F.col("st") == "rep").select(F.col("name").alias("u"), F.col("ord").alias("rep_ord"))
     best = (edges.join(reps, "u").groupBy("v")
             .agg(F.min_by("u", "rep_ord").alias("rep")).withColumnRenamed("v", "name"))
-    out = status.join(best, "name", "left")
     is_rep = F.col("st") == "rep"
-    return out.select("name", F.when(is_rep, F.col("name")).otherwise(F.col("rep")).alias("rep"),
-                      is_rep.alias("is_rep"))
+    return status.join(best, "name", "left").select(
+        "name", F.when(is_rep, F.col("name")).otherwise(F.col("rep")).alias("rep"), is_rep.alias("is_rep"))
+
+
+def greedy_clusters(names: DataFrame, pairs: DataFrame, order_col: str = "ord", name_col: str = "name",
+                    task_edges: int = 200_000) -> DataFrame:
+    """Greedy star clusters in ``order_col`` order; returns ``(name, rep, is_rep)``.
+
+    Clusters do not reach over components of the pair graph. A component of at most
+    ``task_edges`` edges is clustered in one task, name by name, however long its chains
+    are; larger ones by rounds over the edge table. Both give the same result."""
+    nodes = names.select(F.col(name_col).alias("name"), F.col(order_col).alias("ord"))
+    e = pairs.select(F.col("name_a").alias("u"), F.col("name_b").alias("v"))
+    edges = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+    o = nodes.select(F.col("name").alias("v"), F.col("ord").alias("ord_v"))
+    edges = edges.join(o, "v").join(o.select(F.col("v").alias("u"), F.col("ord_v").alias("ord_u")), "u")
+    edges = cut_lineage(edges)
+    comp = components(edges.select(F.col("u").alias("a"), F.col("v").alias("b")))
+    edges = edges.join(comp.withColumnRenamed("node", "v"), "v")
+    size = edges.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    edges = cut_lineage(edges.join(size, "component"))
+    small = (edges.filter(F.col("n") <= task_edges).select("component", "u", "v", "ord_u", "ord_v")
+             .groupBy("component").applyInPandas(
+                 lambda pdf: _greedy_component(pdf), "name string, rep string, is_rep boolean"))
+    large = edges.filter(F.col("n") > task_edges).select("u", "v", "ord_u", "ord_v")
+    large_nodes = nodes.join(large.select(F.col("v").alias("name")).distinct(), "name", "left_semi")
+    alone = nodes.join(edges.select(F.col("v").alias("name")), "name", "left_anti").select(
+        "name", F.col("name").alias("rep"), F.lit(True).alias("is_rep"))
+    return small.unionByName(_greedy_rounds(large_nodes, large)).unionByName(alone)
 
 
 def resolve_collisions(clusters: DataFrame, synonyms: DataFrame, pairs: DataFrame, order: DataFrame) -> DataFrame:

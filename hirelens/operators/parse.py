@@ -8,8 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirelens.sources.io import EXTRACTIONS_TYPE
-
 _FENCE = r"(?s)^```[^\n]*\n(.*?)(\n```\s*)?$"
 
 
@@ -19,36 +17,54 @@ def strip_fence(text_col):
     return F.when(t.startswith("```"), F.regexp_extract(t, _FENCE, 1)).otherwise(t)
 
 
+def _unquoted(c):
+    """A YAML scalar without its quotes."""
+    t = F.trim(c)
+    double = F.replace(F.replace(t.substr(F.lit(2), F.length(t) - 2), F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
+    single = F.replace(t.substr(F.lit(2), F.length(t) - 2), F.lit("''"), F.lit("'"))
+    return F.when(t.rlike('(?s)^".*"$') & (F.length(t) > 1), double).when(
+        t.rlike("(?s)^'.*'$") & (F.length(t) > 1), single).otherwise(t)
+
+
 def parse_json_responses(resp: DataFrame) -> DataFrame:
     """Fenced or bare JSON object -> map; else the first ``{`` .. last ``}`` span;
-    anything that is not an object -> nothing. Long output ``(response_id, key, pos, term)``;
+    anything that is not an object, and any value that is not a list -> nothing. Long output ``(response_id, key, pos, term)``;
     an empty list keeps its key with a null term."""
     t = strip_fence(F.col("text"))
-    direct = F.from_json(t, EXTRACTIONS_TYPE)
-    span = F.from_json(F.regexp_extract(t, r"(?s)(\{.*\})", 1), EXTRACTIONS_TYPE)
-    m = F.coalesce(direct, span, F.create_map().cast(EXTRACTIONS_TYPE))
-    kv = resp.select("response_id", F.explode(m).alias("key", "terms"))
+    direct = F.from_json(t, "map<string,string>")
+    span = F.from_json(F.regexp_extract(t, r"(?s)(\{.*\})", 1), "map<string,string>")
+    m = F.coalesce(direct, span, F.create_map().cast("map<string,string>"))
+    # each value is judged by itself: one that is no list does not lose the others
+    kv = resp.select("response_id", F.explode(m).alias("key", "_v")).select(
+        "response_id", "key", F.when(F.ltrim("_v").startswith("["), F.from_json("_v", "array<string>")).alias("terms"))
+    kv = kv.filter(F.col("terms").isNotNull())
     # posexplode_outer: a key with an empty list is kept (pos/term null) - "extracted none"
     return kv.select("response_id", "key", F.posexplode_outer("terms").alias("pos", "term")).select(
         "response_id", "key", (F.col("pos") + 1).cast("int").alias("pos"), "term")
 
 
 def parse_yaml_responses(resp: DataFrame) -> DataFrame:
-    """``key:`` lines followed by ``- item`` lines; keys with a scalar value are
-    dropped. Output ``(response_id, key, item)``; the running key is carried with a
+    """``key:`` lines followed by ``- item`` lines, or ``key: [a, b]``; keys and items may
+    be quoted; keys with a scalar value are dropped. Output ``(response_id, key, item)``; the running key is carried with a
     window partitioned by response (bounded by one response's lines)."""
     lines = resp.select("response_id", F.posexplode(F.split(strip_fence(F.col("text")), "\n")).alias("ln", "line"))
-    key_re = r"^(\S[^:]*):\s*(.*?)\s*$"
+    key_re = r"""^("(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^\s\-"'#][^:]*|-[^\s:][^:]*):(?:\s+(.*?))?\s*$"""
     is_key = F.col("line").rlike(key_re)
     lines = lines.select("response_id", "ln", "line",
-                         F.when(is_key, F.regexp_extract("line", key_re, 1)).alias("_k"),
-                         F.when(is_key, F.regexp_extract("line", key_re, 2)).alias("_v"))
+                         F.when(is_key, _unquoted(F.regexp_extract("line", key_re, 1))).alias("_k"),
+                         F.when(is_key, F.coalesce(F.regexp_extract("line", key_re, 2), F.lit(""))).alias("_v"))
     w = Window.partitionBy("response_id").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
     lines = lines.withColumn("_key", F.last("_k", ignorenulls=True).over(w)).withColumn(
         "_val", F.last(F.when(F.col("_k").isNotNull(), F.col("_v")), ignorenulls=True).over(w))
     items = lines.filter(F.col("line").rlike(r"^\s*-\s+") & (F.col("_val") == ""))
-    unq = F.regexp_replace(F.regexp_replace("line", r"^\s*-\s+", ""), r"""^(["'])(.*)\1$""", "$2")
-    return items.select("response_id", F.col("_key").alias("key"), F.trim(unq).alias("item"))
+    block = items.select("response_id", F.col("_key").alias("key"),
+                         _unquoted(F.regexp_replace("line", r"^\s*-\s+", "")).alias("item"))
+    # flow lists: key: [a, "b, c"]
+    flow = lines.filter(F.col("_k").isNotNull() & F.col("_v").rlike(r"^\[.*\]$"))
+    part = r"""("(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^,\[\]"'\s][^,\[\]]*)"""
+    flow = flow.select("response_id", F.col("_k").alias("key"),
+                       F.explode(F.regexp_extract_all("_v", F.lit(part), 1)).alias("item"))
+    return block.unionByName(flow.select("response_id", "key", _unquoted(F.col("item")).alias("item")))
 
 
 def parse_csv_responses(resp: DataFrame, names=("canonical_name", "category", "platform_family")) -> DataFrame:
@@ -58,6 +74,9 @@ def parse_csv_responses(resp: DataFrame, names=("canonical_name", "category", "p
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
     rec = F.from_csv("line", schema, {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
                                       "ignoreTrailingWhiteSpace": "false"})
-    r = lines.select("response_id", rec.alias("r")).filter(F.col("r.c1").isNotNull())
+    # an empty field and a missing column both parse to null: a line counts if a separator is
+    # left once its quoted parts are taken out
+    two = F.regexp_replace("line", r'"(?:[^"]|"")*"', "").contains(",")
+    r = lines.filter(two).select("response_id", rec.alias("r"))
     return r.select("response_id", *[F.coalesce(F.trim(F.col(f"r.c{i}")), F.lit("")).alias(n)
                                       for i, n in enumerate(names)])

@@ -1,8 +1,8 @@
 """Dictionary lookup and skill mapping.
 
-The dictionary and category tables are dimensions (thousands of rows); they are
-broadcast only after a row-count check, otherwise joined by shuffle. Fact-side
-work (extractions, postings) is always a distributed join/aggregate.
+The dictionary and category tables are small dimensions; whether one is broadcast is
+left to Spark, which compares its measured bytes with spark.sql.autoBroadcastJoinThreshold.
+Fact-side work (extractions, postings) is always a distributed join/aggregate.
 """
 from __future__ import annotations
 
@@ -10,10 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelens.session import fits
-
-DIM_BROADCAST_ROWS = 2_000_000
-
 # Fallback subcategory per category (everything outside a named slot).
 FALLBACK_SUBCATEGORY = {
     "language": "Other Languages",
@@ -31,11 +27,6 @@ FALLBACK_SUBCATEGORY = {
 UNCLASSIFIED = "unclassified"
 
 
-def dim(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a dimension only when its row count is under the bound."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 def reverse_lookup(dictionary: DataFrame) -> DataFrame:
     """lower(alias) -> canonical, last in file order (max seq) wins; empty aliases skipped."""
     d = dictionary.filter(F.col("alias").isNotNull())
@@ -54,7 +45,7 @@ def alias_conflicts(dictionary: DataFrame) -> DataFrame:
 def mapped_long(extr: DataFrame, lookup: DataFrame) -> DataFrame:
     """Long mapped skills ``(posting_id, skill, first_pos)``: unmapped terms dropped,
     one row per (posting, canonical) at its first position."""
-    j = extr.join(dim(lookup), F.lower(extr.term) == F.col("alias_lower"))
+    j = extr.join(lookup, F.lower(extr.term) == F.col("alias_lower"))
     return j.groupBy("posting_id", F.col("canonical").alias("skill")).agg(F.min("pos").alias("first_pos"))
 
 
@@ -64,7 +55,7 @@ def map_skills(extr: DataFrame, lookup: DataFrame) -> DataFrame:
     One shuffle on posting_id: collect the (pos, canonical) pairs of a posting,
     sort by position, keep the first occurrence of each canonical.
     """
-    j = extr.join(dim(lookup), F.lower(extr.term) == F.col("alias_lower"))
+    j = extr.join(lookup, F.lower(extr.term) == F.col("alias_lower"))
     agg = j.groupBy("posting_id").agg(
         F.array_sort(F.collect_list(F.struct("pos", "canonical"))).alias("_pairs"))
     return agg.select("posting_id",
@@ -87,7 +78,7 @@ def subcategory(categories: DataFrame, slots: DataFrame) -> DataFrame:
     else the category's fallback (``Other <Title Case>`` for unknown categories)."""
     c = categories.withColumn("_key", F.lower(F.trim("canonical_name")))
     s = slots.select(F.col("category").alias("_scat"), F.col("pattern").alias("_key"), "slot")
-    j = c.join(dim(s), (c.category == F.col("_scat")) & (c._key == s._key), "left")
+    j = c.join(s, (c.category == F.col("_scat")) & (c._key == s._key), "left")
     fb_map = F.create_map(*[F.lit(x) for kv in FALLBACK_SUBCATEGORY.items() for x in kv])
     generic = F.concat(F.lit("Other "), F.initcap(F.replace(F.col("category"), F.lit("_"), F.lit(" "))))
     fallback = F.coalesce(F.element_at(fb_map, F.col("category")), generic)
@@ -98,7 +89,7 @@ def subcategory(categories: DataFrame, slots: DataFrame) -> DataFrame:
 def category_join(skills_long: DataFrame, categories: DataFrame, skill_col: str = "skill") -> DataFrame:
     """Attach category; skills without a category row -> ``unclassified``."""
     cats = categories.select(F.col("canonical_name").alias(skill_col), "category", "platform_family")
-    out = skills_long.join(dim(cats), skill_col, "left")
+    out = skills_long.join(cats, skill_col, "left")
     return out.withColumn("category", F.coalesce("category", F.lit(UNCLASSIFIED)))
 
 

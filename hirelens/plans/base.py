@@ -26,15 +26,27 @@ _LOCK = threading.Lock()
 _PERSISTED: dict[tuple[str, str, str], str] = {}
 
 
+def _version(spark, sf_dir: str) -> str:
+    """Names, sizes and times of the input files: a changed input is built anew."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    it = path.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(path, True)
+    seen = []
+    while it.hasNext():
+        f = it.next()
+        seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 def persisted(spark, sf_dir: str, name: str, build, partition_cols=()) -> DataFrame:
     """Write ``build()`` once per (application, sf_dir, name) to the shared
     checkpoint folder and return the read-back table."""
     app = spark.sparkContext.applicationId
-    key = (app, sf_dir, name)
+    key = (app, _version(spark, sf_dir), name)
     with _LOCK:
         path = _PERSISTED.get(key)
         if path is None:
-            tag = hashlib.sha1(f"{app}|{sf_dir}".encode()).hexdigest()[:12]
+            tag = hashlib.sha1(repr(key).encode()).hexdigest()[:12]
             path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{tag}"
             df = build()
             if partition_cols:
@@ -60,11 +72,11 @@ def mapped(spark, sf_dir: str) -> DataFrame:
 
 
 def with_description(spark, sf_dir: str, df: DataFrame) -> DataFrame:
-    """Fixture text attach: description = documents.text of doc (native id % 200)."""
-    docs = (fx.table(spark, sf_dir, "documents").filter(F.col("doc_id") < fx.DOC_MOD)
-            .select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text")))
+    """Fixture text attach: description = text of the posting's document (see ``fx.doc_of``)."""
+    docs = fx.table(spark, sf_dir, "documents")
+    text = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
     nid = F.element_at(F.split("posting_id", ":"), -1).cast("long")
-    out = df.withColumn("_doc", nid % fx.DOC_MOD).join(docs, "_doc", "left")
+    out = df.withColumn("_doc", fx.doc_of(docs, nid)).join(text, "_doc", "left")
     return out.withColumn("description_text", F.coalesce("_text", F.lit(""))).drop("_doc", "_text")
 
 

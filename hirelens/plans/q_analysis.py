@@ -421,11 +421,11 @@ GROUP BY e.term, r.canonical"""))
 def category_audit(spark, sf, category: str = GENAI):
     """N-Q: raw terms of a category seen in first-snapshot postings (suspicious early mentions)."""
     e = fx.extractions(spark, sf)
-    lk = TX.dim(lookup(spark, sf))
+    lk = lookup(spark, sf)
     cats = fx.categories(spark, sf).filter(F.col("category") == category).select(
         F.col("canonical_name").alias("canonical"))
     first = clean_postings(spark, sf).filter(F.col("snapshot") == S0).select("posting_id")
-    j = (e.join(lk, F.lower(e.term) == F.col("alias_lower")).join(TX.dim(cats), "canonical")
+    j = (e.join(lk, F.lower(e.term) == F.col("alias_lower")).join(cats, "canonical")
          .join(first, "posting_id"))
     return j.groupBy("term", "canonical").agg(F.count_distinct("posting_id").alias("n_postings"))
 

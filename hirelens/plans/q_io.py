@@ -62,7 +62,7 @@ _SLICES = {  # tag -> (source, id, title, text, company, location, date) column
 
 
 def _write_slices(spark, sf) -> dict[str, str]:
-    raw = fx.postings_raw(spark, sf, with_text=False)
+    raw = fx.postings_raw(spark, sf, with_text=True)
     paths = {}
     for tag, (src, idc, tc, xc, cc, lc, dc) in _SLICES.items():
         part = raw.filter(F.col("source") == src)
@@ -70,7 +70,8 @@ def _write_slices(spark, sf) -> dict[str, str]:
                if lc.endswith("locations") else F.col("location"))
         iso = F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T12:00:00Z"))
         out = part.select(F.col("native_id").cast("string").alias(idc), F.col("raw_title").alias(tc),
-                          F.lit("<p>text</p>").alias(xc), F.col("company").alias(cc), loc.alias(lc), iso.alias(dc))
+                          F.concat(F.lit("<p>"), F.replace(F.replace("description_text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                                   F.lit("</p>")).alias(xc), F.col("company").alias(cc), loc.alias(lc), iso.alias(dc))
         p = IO.scratch_path(spark, f"ats_{tag}")
         out.write.mode("overwrite").parquet(p)
         paths[tag] = p
@@ -159,7 +160,7 @@ def companion_skills(spark, sf):
     r = fx.table(spark, sf, "region")
     skills = n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").alias("skill_abr"), F.col("n_name").alias("skill_name"), F.col("r_name").alias("category"))
-    j = job_skills.join(TX.dim(skills), "skill_abr")
+    j = job_skills.join(skills, "skill_abr")
     return j.groupBy("skill_name", "category").agg(F.count(F.lit(1)).alias("n_postings"))
 
 

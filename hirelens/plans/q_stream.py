@@ -16,29 +16,31 @@ SCOPED_SCHEMA = "posting_id string, company string, canonical_title string, date
 
 @register("ingest_incremental", with_views("tagged", body="SELECT posting_id, source, canonical_title FROM tagged"))
 def ingest_incremental(spark, sf):
-    """Raw postings arrive in two drops laid out by source (the second drop
+    """Raw postings arrive in two drops laid out by date and source (the second drop
     re-delivers a slice of the first); each drop is ingested by a streaming run
     that only sees new files and skips ids already in the target."""
     raw = fx.postings_raw(spark, sf, with_text=False)
     feed, target, ckpt = (IO.scratch_path(spark, n) for n in ("feed", "ingested", "ingest_ckpt"))
     first = raw.filter(F.year("date") < 1998)
     second = raw.filter(F.year("date") >= 1997)                  # 1997 re-delivered
-    tag = lambda b: C.tag_postings(b).select("posting_id", "source", "canonical_title")
-    for i, drop in enumerate((first, second)):
-        drop.write.mode("append").partitionBy("source").parquet(feed)
+    tag = lambda b: C.tag_postings(b).select("posting_id", "source", "canonical_title",
+                                             F.trunc("date", "year").alias("date"))
+    for drop in (first, second):
+        # one folder per year and source: the fixture's days are few rows each
+        drop.withColumn("date", F.trunc("date", "year")).repartition("date", "source").write.mode("append") \
+            .partitionBy("date", "source").parquet(feed)
         ST.ingest_new(spark, feed, RAW_SCHEMA, target, ckpt, tag)
-        del i
-    return spark.read.parquet(target)
+    return spark.read.parquet(target).select("posting_id", "source", "canonical_title")
 
 
 @register("dedup_stream", with_views("unified", body="SELECT posting_id, is_duplicate FROM unified"))
 def dedup_stream(spark, sf):
     """The 30-day chained flag as a stateful stream; yearly drops arrive in date
-    order, state = last posting date per (company, title), expired by watermark."""
+    order, state = last posting date per (company, title)."""
     scoped = C.filter_geo(C.filter_years(C.filter_roles(C.tagged_postings(spark, sf))))
     scoped = scoped.select("posting_id", "company", "canonical_title", "date", "year")
-    feed, target, ckpt = (IO.scratch_path(spark, n) for n in ("dedup_feed", "dedup_out", "dedup_ckpt"))
+    feed, target, ckpt, state = (IO.scratch_path(spark, n) for n in ("dedup_feed", "dedup_out", "dedup_ckpt", "dedup_state"))
     for y in fx.VALID_YEARS:
         scoped.filter(F.col("year") == y).write.mode("append").partitionBy("year").parquet(feed)
-        ST.dedup_stream_run(spark, feed, SCOPED_SCHEMA, target, ckpt)
-    return spark.read.parquet(target)
+        ST.dedup_stream_run(spark, feed, SCOPED_SCHEMA, target, ckpt, state)
+    return spark.read.parquet(target).select("posting_id", "is_duplicate")

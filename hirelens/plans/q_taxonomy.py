@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hirelens.operators import clean as C
+from hirelens.operators import batching as B
 from hirelens.operators import taxonomy as TX
 from hirelens.plans.base import clean_postings, clean_with_counts, lookup, mapped, r6
 from hirelens.plans.registry import register, with_views
@@ -68,7 +69,7 @@ GROUP BY term ORDER BY n DESC, term LIMIT 20"""))
 def unmapped_terms(spark, sf, top: int = 20):
     """Top unmapped raw spellings (lower() not in the lookup)."""
     e = fx.extractions(spark, sf)
-    um = e.join(TX.dim(lookup(spark, sf)), F.lower(e.term) == F.col("alias_lower"), "left_anti")
+    um = e.join(lookup(spark, sf), F.lower(e.term) == F.col("alias_lower"), "left_anti")
     return um.groupBy("term").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "term").limit(top)
 
 
@@ -78,7 +79,7 @@ WHERE NOT EXISTS (SELECT 1 FROM reverse_lookup r WHERE r.alias_lower = lower(e.t
 def unmapped_stats(spark, sf):
     """Unique and total unmapped term occurrences."""
     e = fx.extractions(spark, sf)
-    um = e.join(TX.dim(lookup(spark, sf)), F.lower(e.term) == F.col("alias_lower"), "left_anti")
+    um = e.join(lookup(spark, sf), F.lower(e.term) == F.col("alias_lower"), "left_anti")
     per = um.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return per.agg(F.count(F.lit(1)).alias("n_unique"), F.sum("n").cast("long").alias("n_total"))
 
@@ -228,10 +229,8 @@ SELECT posting_id, max(run) AS run, count(*) AS n_terms FROM (
   FROM extractions e) WHERE run = last_run GROUP BY posting_id"""))
 def upsert_latest(spark, sf):
     """A later run's result replaces the earlier one for the same posting id."""
-    r = _runs(spark, sf)
-    last = r.groupBy("posting_id").agg(F.max("run").alias("run"))
-    kept = r.join(last, ["posting_id", "run"])
-    return kept.groupBy("posting_id").agg(F.max("run").alias("run"), F.count(F.lit(1)).alias("n_terms"))
+    per_run = _runs(spark, sf).groupBy("posting_id", "run").agg(F.count(F.lit(1)).alias("n_terms"))
+    return TX.upsert_latest(per_run, "posting_id", "run").select("posting_id", "run", "n_terms")
 
 
 @register("merge_synonyms", with_views("dictionary", body="""
@@ -285,7 +284,7 @@ def category_distribution(spark, sf):
     """Canonicals per category (backfilled unclassified) and per named subcategory."""
     canon = fx.dictionary(spark, sf).select(F.col("canonical").alias("canonical_name")).distinct()
     cats = fx.categories(spark, sf)
-    full = canon.join(TX.dim(cats), "canonical_name", "left").withColumn(
+    full = canon.join(cats, "canonical_name", "left").withColumn(
         "category", F.coalesce("category", F.lit(TX.UNCLASSIFIED)))
     sub = TX.subcategory(full, fx.named_slots(spark))
     a = sub.groupBy(F.lit("category").alias("level"), F.col("category").alias("name")).agg(F.count(F.lit(1)).alias("n"))
@@ -305,12 +304,14 @@ def platform_family_counts(spark, sf):
     return c.filter(pf.isNotNull()).groupBy(pf.alias("platform_family")).agg(F.count(F.lit(1)).alias("n"))
 
 
+JSON_BATCH = 100   # postings per JSON object (S8)
+
 # ---- sources / sinks round trips -------------------------------------------------
 @register("src_extractions", with_views("extractions", body="SELECT posting_id, pos, term FROM extractions"))
 def src_extractions(spark, sf):
     """Write the extractions as JSON objects per batch of postings, read back long."""
     e = fx.extractions(spark, sf)
-    e = e.withColumn("batch", F.xxhash64("posting_id") % 64)
+    e = e.join(B.make_batches(e.select("posting_id").distinct(), "posting_id", JSON_BATCH), "posting_id")
     path = IO.scratch_path(spark, "extractions_json")
     IO.write_extractions_json(e, path)
     return IO.read_extractions_json(spark, path)

@@ -2,7 +2,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,12 +55,14 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is. Only
-    when it is unset (local runs, tests) a scratch folder is created here.
+    On a cluster this setting points at shared storage and is used as is. Only a
+    local session without it gets a scratch folder here; any other master must set it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="hirelens-ckpt-", dir=os.environ.get("HIRELENS_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -71,6 +75,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Size check for a dimension before broadcasting it: reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` as Parquet to a new shared folder and read it back."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -33,7 +33,6 @@ HINTS = [None, "Entry level", "Mid-Senior level", "Director", "Associate", "Exec
 HINT_SOURCE = "network_b"
 NULL_COMPANY_MOD = 97
 COMPANY_DIV = 50
-DOC_MOD = 200
 
 VALID_YEARS = [1995, 1998, 2000, 2001]
 SNAPSHOT_MAP = {1995: 1995, 1998: 1998, 2000: 2001, 2001: 2001}
@@ -58,23 +57,13 @@ TEXT_ALIASES = ["the", "of the", "that", "que", "der", "la"]
 # ---------------------------------------------------------------------------
 
 
-FACT_TABLES = {"orders", "lineitem", "documents", "pages", "events", "conversations", "embeddings"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Scan parallelism guard: a fact scan with fewer splits than task slots (one
-    small file / one row group) is round-robin repartitioned to the default
-    parallelism. On a cluster-sized input it has far more splits than slots and
-    this is a no-op (no shuffle added)."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in FACT_TABLES else df
+def doc_of(docs: DataFrame, native_id):
+    """The document whose text a posting carries: native id modulo the number of documents."""
+    return native_id % docs.agg(F.count(F.lit(1))).scalar()
 
 
 def _pick(values, idx_col):
@@ -100,13 +89,12 @@ def postings_raw(spark: SparkSession, sf_dir: str, with_text: bool = True) -> Da
         F.when(F.col("o_custkey") % NULL_COMPANY_MOD != 0,
                F.concat(F.lit("C"), F.expr(f"o_custkey div {COMPANY_DIV}").cast("string"))).alias("company"),
         F.to_date("o_orderdate").alias("date"),
-        (k % DOC_MOD).alias("_doc"),
     )
     if not with_text:
-        return df.drop("_doc").withColumn("description_text", F.lit(None).cast("string"))
-    docs = (table(spark, sf_dir, "documents").filter(F.col("doc_id") < DOC_MOD)
-            .select(F.col("doc_id").alias("_doc"), F.col("text").alias("description_text")))
-    return df.join(docs, "_doc", "left").drop("_doc")
+        return df.withColumn("description_text", F.lit(None).cast("string"))
+    docs = table(spark, sf_dir, "documents")
+    text = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("description_text"))
+    return df.withColumn("_doc", doc_of(docs, F.col("native_id"))).join(text, "_doc", "left").drop("_doc")
 
 
 def extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +182,7 @@ postings_raw AS (
   JOIN fx_titles t ON t.i = (o.o_orderkey // 3) % 23
   JOIN fx_locations l ON l.i = (o.o_orderkey // 7) % 19
   JOIN fx_hints h ON h.i = (o.o_orderkey // 5) % 7
-  LEFT JOIN documents d ON d.doc_id = o.o_orderkey % {DOC_MOD}
+  LEFT JOIN documents d ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM documents)
 )"""
 
 SQL_EXTRACTIONS = f"""

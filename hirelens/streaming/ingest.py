@@ -7,32 +7,35 @@ arrived since the last one and a restarted run resumes where it stopped.
 """
 from __future__ import annotations
 
-import datetime as dt
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 WINDOW_DAYS = 30
 
 
 # ---- S15 -----------------------------------------------------------------------------
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def ingest_new(spark: SparkSession, feed_dir: str, schema, target: str, checkpoint: str, transform,
                key: str = "posting_id") -> None:
-    """Process every unseen feed file once: ``transform`` the micro-batch, drop rows
-    whose key is already in the target (left anti join - a re-delivered posting or a
-    retried epoch is not written twice), append the rest."""
+    """Process every unseen feed file once (feed laid out by ``date`` and ``source``): ``transform``
+    the micro-batch, drop rows whose key is already in the target (left anti join - a
+    re-delivered posting or a retried epoch is not written twice), append the rest.
+
+    The target has the feed's layout, and a posting keeps its date and source, so only the
+    date folders that the micro-batch touches are read for the anti join."""
     stream = spark.readStream.schema(schema).option("basePath", feed_dir).parquet(feed_dir)
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         out = transform(batch).dropDuplicates([key])
-        try:
-            seen = batch.sparkSession.read.parquet(target).select(key)
-            out = out.join(seen, key, "left_anti")
-        except Exception:  # noqa: BLE001 - first run: no target yet
-            pass
-        out.write.mode("append").parquet(target)
+        if _exists(batch.sparkSession, target):
+            seen = batch.sparkSession.read.parquet(target)
+            dates = batch.select("date").distinct()       # dynamic partition pruning on the target's folders
+            out = out.join(seen.join(F.broadcast(dates), "date", "left_semi").select(key), key, "left_anti")
+        out.write.mode("append").partitionBy("date", "source").parquet(target)
 
     q = (stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -40,47 +43,40 @@ def ingest_new(spark: SparkSession, feed_dir: str, schema, target: str, checkpoi
 
 
 # ---- W6 ------------------------------------------------------------------------------
-OUT_SCHEMA = "posting_id string, is_duplicate boolean"
-STATE_SCHEMA = "last_date date"
+def dedup_stream_run(spark: SparkSession, feed_dir: str, schema, target: str, checkpoint: str,
+                     state_dir: str, window_days: int = WINDOW_DAYS) -> None:
+    """The 30-day chained flag over newly arrived files (drops arrive in date order).
 
+    The state that later drops need is one row per (company, title): its last day. Each
+    micro-batch flags its rows like the batch operator, over the table of distinct days per
+    key with the state's day as the one before; a day's first posting is compared with the
+    day before, every other one is a duplicate. So no group of rows is gathered anywhere, and
+    rows without a company never enter a group. A new version of the state is written per epoch;
+    a repeated epoch reads the version before its own and overwrites its own output."""
+    stream = spark.readStream.schema(schema).option("basePath", feed_dir).parquet(feed_dir)
+    keys = ["company", "canonical_title"]
 
-def _flag_group(key, pdfs, state):
-    """Rows of one (company, title) key in this micro-batch: sort by (date, id),
-    chain against the last date kept in state, keep the newest date."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    company = key[0]
-    # keep only what the chain needs from each Arrow chunk of the group
-    pdf = pd.concat([c[["posting_id", "date"]] for c in pdfs], ignore_index=True)
-    if pdf.empty:
-        return
-    if company is None:
-        yield pd.DataFrame({"posting_id": pdf["posting_id"], "is_duplicate": False})
-        return
-    pdf = pdf.assign(date=pd.to_datetime(pdf["date"])).sort_values(["date", "posting_id"], kind="mergesort")
-    prev = pd.Timestamp(state.get[0]) if state.exists and state.get[0] is not None else None
-    flags = []
-    for d in pdf["date"]:
-        if pd.isna(d):
-            flags.append(False)
-            continue
-        flags.append(prev is not None and (d - prev).days <= WINDOW_DAYS)
-        prev = d
-    if prev is not None:
-        state.update((prev.date(),))
-        # state is useless once the watermark passes last_date + window: expire it
-        expire = prev.to_pydatetime() + dt.timedelta(days=WINDOW_DAYS + 1)
-        state.setTimeoutTimestamp(int(expire.replace(tzinfo=dt.timezone.utc).timestamp() * 1000))
-    yield pd.DataFrame({"posting_id": pdf["posting_id"].values, "is_duplicate": flags})
-
+    def flag(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
+        before = f"{state_dir}/v={epoch_id - 1}"
+        rows = batch.select("posting_id", *keys, "date")
+        valid = F.col("company").isNotNull() & F.col("canonical_title").isNotNull() & F.col("date").isNotNull()
+        days = rows.filter(valid).groupBy(*keys, "date").agg(F.min("posting_id").alias("_first"))
+        last = "company string, canonical_title string, last_date date"
+        state = (session.read.schema(last).parquet(before) if _exists(session, before)
+                 else session.createDataFrame([], last))
+        w = Window.partitionBy(*keys).orderBy("date")
+        days = days.join(state, keys, "left").withColumn(
+            "_prev", F.coalesce(F.lag("date").over(w), F.col("last_date")))
+        flagged = rows.join(days.select(*keys, "date", "_first", "_prev"), [*keys, "date"], "left")
+        dup = (F.when(~valid, F.lit(False)).when(F.col("posting_id") != F.col("_first"), F.lit(True))
+               .otherwise(F.coalesce(F.datediff("date", "_prev") <= window_days, F.lit(False))))
+        (flagged.select("posting_id", dup.alias("is_duplicate"))
+         .write.mode("overwrite").parquet(f"{target}/epoch={epoch_id}"))
+        now = state.unionByName(days.select(*keys, F.col("date").alias("last_date")))
+        newest = now.groupBy(*keys).agg(F.max("last_date").alias("last_date"))
+        newest.write.mode("overwrite").parquet(f"{state_dir}/v={epoch_id}")
 
-def dedup_stream_run(spark: SparkSession, feed_dir: str, schema, target: str, checkpoint: str) -> None:
-    """One availableNow run over newly arrived files (drops must arrive in date order)."""
-    s = spark.readStream.schema(schema).option("basePath", feed_dir).parquet(feed_dir)
-    s = s.withColumn("_ts", F.col("date").cast("timestamp")).withWatermark("_ts", f"{WINDOW_DAYS + 1} days")
-    out = s.groupBy("company", "canonical_title").applyInPandasWithState(
-        _flag_group, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-    q = (out.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+    q = (stream.writeStream.foreachBatch(flag).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()

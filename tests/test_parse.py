@@ -27,3 +27,20 @@ def test_yaml_responses(spark):
     texts = ["```yaml\nPython:\n  - python\n  - py\nnote: reviewed\nSQL:\n  - sql\n```"]
     got = sorted((r.key, r.item) for r in P.parse_yaml_responses(_resp(spark, texts)).collect())
     assert got == [("Python", "py"), ("Python", "python"), ("SQL", "sql")]
+
+
+def test_json_one_bad_value_keeps_the_others(spark):
+    rows = P.parse_json_responses(_resp(spark, ['{"a":["x"],"b":"scalar","c":{"d":1},"e":["y", "z"]}'])).collect()
+    assert {(r.key, r.term) for r in rows} == {("a", "x"), ("e", "y"), ("e", "z")}
+
+
+def test_yaml_quotes_and_flow_lists(spark):
+    text = 'Python: [py, "python, 3"]\n"CI: CD":\n  - "ci/cd"\n\'it\'\'s\':\n  - x\n"C++":\n  - c++\nnote: reviewed\nEmpty: []'
+    got = sorted((r.key, r.item) for r in P.parse_yaml_responses(_resp(spark, [text])).collect())
+    assert got == [("C++", "c++"), ("CI: CD", "ci/cd"), ("Python", "py"), ("Python", "python, 3"), ("it's", "x")]
+
+
+def test_csv_empty_fields_are_not_missing_columns(spark):
+    got = sorted((r.canonical_name, r.category, r.platform_family)
+                 for r in P.parse_csv_responses(_resp(spark, ['a,\nb,,Suite\noops\n"x, y"\n"q",language'])).collect())
+    assert got == [("a", "", ""), ("b", "", "Suite"), ("q", "language", "")]
