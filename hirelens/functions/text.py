@@ -1,33 +1,16 @@
 """Text cleanup as native Column expressions.
 
-HTML stripping is a regex chain that runs in the JVM; only rows that still hold
-an entity the chain does not know take an Arrow-batched pandas UDF fallback
-that uses the standard library's ``html.unescape``.
+HTML stripping and entity decoding are chains of JVM expressions; no Python runs.
 """
 from __future__ import annotations
 
-import html as _html
-import re as _re
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 from hirelens.functions.rules import unicode_trim
 
-# HTML named entities decoded natively (the common table); any
-# other entity or numeric reference goes through the Arrow fallback.
-NATIVE_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"),
-    ("&reg;", "®"), ("&ndash;", "–"), ("&mdash;", "—"),
-    ("&hellip;", "…"), ("&rsquo;", "’"), ("&lsquo;", "‘"),
-    ("&rdquo;", "”"), ("&ldquo;", "“"), ("&bull;", "•"),
-]
-# `&amp;` last, so `&amp;lt;` decodes once to `&lt;` (one html.unescape pass)
-
 # Blocks whose text the HTML text extractor skips, replaced by one separator.
 _BLOCKS = (
     r"(?is)<!--.*?-->|<!--.*$"                          # comments (unterminated: to end)
@@ -38,19 +21,64 @@ _BLOCKS = (
     r"|<\?[^>]*>"                                        # processing instructions
 )
 _TAGS = r"(?s)</?[A-Za-z][^>]*>"
-_LEFTOVER_ENTITY = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
+# Names that end without a semicolon, longest first (the standard's legacy ones).
+_LEGACY = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _code_point(n) -> Column:
+    """Text of a numeric reference, by the HTML standard: 128-159 as Windows-1252, null, surrogates
+    and numbers beyond Unicode as U+FFFD, other control characters and non-characters as nothing."""
+    def windows(k):
+        try:
+            return bytes([k]).decode("cp1252")
+        except UnicodeDecodeError:
+            return chr(k)
+
+    c1 = F.create_map(*[F.lit(x) for k in range(128, 160) for x in (k, windows(k))])
+    none = (n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF)
+            | ((n % 65536) >= 65534))
+    text = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return (F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("\ufffd"))
+            .when(n.between(128, 159), c1[n.cast("int")]).when(none, F.lit("")).otherwise(text))
+
+
 def decode_entities(c) -> Column:
-    """One pass of named-entity decoding for the common entity table."""
-    out = _col(c)
-    for ent, ch in NATIVE_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    """One pass of HTML entity decoding: numeric references, names with a semicolon, and the
+    standard's legacy names without one; any other ``&`` stays (R&D, AT&T)."""
+    text = _col(c)
+    def table(keys):                                    # one literal: a map of literals would slow planning
+        return F.str_to_map(F.lit("\x02".join(f"{k}\x01{html5[k]}" for k in keys)), F.lit("\x02"), F.lit("\x01"))
+
+    common, every = table(["amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;", "copy;", "middot;"]), table(html5)
+    legacy = "^(" + "|".join(_LEGACY) + ")"
+
+    def number(digits, base):
+        d = F.regexp_replace(F.regexp_replace(digits, "[xX;]", ""), "^0+", "")
+        return F.when(F.length(d) > 7, F.lit(0x110000)).when(d == "", F.lit(0)).otherwise(F.conv(d, base, 10)).cast("long")
+
+    def decoded(p):
+        ten = F.regexp_extract(p, "^#([0-9]+;?)", 1)
+        hexa = F.regexp_extract(p, "^#([xX][0-9a-fA-F]+;?)", 1)
+        name = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]*;)", 1)
+        old = F.regexp_extract(p, legacy, 1)
+
+        def rest(x, more=0):
+            return F.substring(p, F.length(x) + 1 + more, F.length(p))
+
+        return (F.when(ten != "", F.concat(_code_point(number(ten, 10)), rest(ten, 1)))
+                .when(hexa != "", F.concat(_code_point(number(hexa, 16)), rest(hexa, 1)))
+                .when(name != "", F.coalesce(F.concat(F.coalesce(common[name], every[name]), rest(name)),
+                                             F.concat(F.coalesce(every[old], F.lit("&")), rest(old))))
+                .when(old != "", F.concat(every[old], rest(old)))
+                .otherwise(F.concat(F.lit("&"), p)))
+
+    parts = F.split(text, "&")
+    out = F.concat(F.get(parts, 0), F.concat_ws("", F.transform(F.slice(parts, 2, F.size(parts)), decoded)))
+    return F.when(text.contains("&"), out).otherwise(text)
 
 
 def collapse_ws(c) -> Column:
@@ -63,36 +91,13 @@ def _strip_markup(c: Column) -> Column:
     return F.regexp_replace(no_blocks, _TAGS, " ")
 
 
-def _py_strip_html(s: str) -> str:
-    # exact fallback: unescape, drop skipped blocks and tags, unescape again
-    t = _html.unescape(s)
-    t = _re.sub(r"(?is)<!--.*?-->|<!--.*$|<script\b[^>]*>.*?</script\s*>"
-                r"|<style\b[^>]*>.*?</style\s*>|<template\b[^>]*>.*?</template\s*>"
-                r"|<![^>]*>|<\?[^>]*>", " ", t)
-    t = _re.sub(r"(?s)</?[A-Za-z][^>]*>", " ", t)
-    t = _html.unescape(t)
-    return _re.sub(r"\s+", " ", t).strip()
-
-
-@pandas_udf(StringType())
-def _strip_html_fallback(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if v is None else _py_strip_html(v))
-
-
 def html_to_text(raw) -> Column:
     """T4: entity-decode -> drop comments/doctype/script/style/template -> tags to " "
     -> decode again -> collapse whitespace -> trim; blank/null -> "".
-
-    The native chain handles the common entity table. Rows that still carry
-    an unknown entity after the chain are re-done by the Arrow UDF (rare path).
     """
     r = _col(raw)
-    native = collapse_ws(decode_entities(_strip_markup(decode_entities(r))))
-    needs_fallback = r.rlike(_LEFTOVER_ENTITY) & native.rlike(_LEFTOVER_ENTITY)
     blank = r.isNull() | (unicode_trim(r) == "")
-    return (F.when(blank, F.lit(""))
-            .when(needs_fallback, _strip_html_fallback(r))
-            .otherwise(native))
+    return F.when(blank, F.lit("")).otherwise(collapse_ws(decode_entities(_strip_markup(decode_entities(r)))))
 
 
 def company_clean(c) -> Column:
@@ -113,6 +118,14 @@ def text_or_empty(c) -> Column:
     return F.coalesce(_col(c).cast("string"), F.lit(""))
 
 
-def letter_tokens(c) -> Column:
-    """Lower-cased runs of letters (``\\p{L}+``), in text order; whole text, no cap."""
-    return F.regexp_extract_all(F.lower(_col(c)), F.lit(r"(\p{L}+)"), 1)
+# What a token may hold besides letters and digits, and what it may not begin or
+# end with (a leading dot stays, as in .NET).
+TOKEN_PATTERN = r"[\p{L}\p{N}+#./&'-]+"
+TOKEN_EDGES = r"^[/&'-]+|[./&'-]+$"
+
+
+def skill_tokens(c) -> Column:
+    """Tokens in text order, spelling kept: letters, digits and inner ``+ # . / & - '``, without
+    closing punctuation (C++, C#, CI/CD, Node.js, GPT-4 are tokens); whole text, no cap."""
+    raw = F.regexp_extract_all(_col(c), F.lit(f"({TOKEN_PATTERN})"), F.lit(1))
+    return F.filter(F.transform(raw, lambda x: F.regexp_replace(x, TOKEN_EDGES, "")), lambda x: x != "")

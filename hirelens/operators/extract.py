@@ -1,21 +1,18 @@
 """Skill extraction from text (X1, X2) and skill co-occurrence.
 
-X1 is a distributed dictionary match over WHOLE texts: each document is
-tokenised once (lower-cased letter runs), its candidate n-grams are built
-inside the token array with higher-order functions (no per-token window, no
-shuffle by document), exploded, and joined to the alias table. The alias table
-is a dimension: broadcast after a row-count check. Only the matched
-(document, skill) pairs are shuffled, for the final per-document aggregate.
-For n >= 2 an n-gram is only built at positions whose token starts some
-multi-word alias (semi-filter on first words), so long texts do not emit every
-n-gram.
+X1 is a distributed dictionary match over WHOLE texts: each document is tokenised once
+inside its array (``skill_tokens`` keeps names such as C++, CI/CD or Node.js whole), each
+token leaves with the words that follow it, and a join on the alias's FIRST word keeps
+those that begin one; the rest of the alias is compared in the join. The alias table is a
+small dimension that Spark broadcasts by its own size check. Only matched (document,
+skill) pairs are shuffled, for the final per-document aggregate.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.functions.text import letter_tokens
+from hirelens.functions.text import skill_tokens
 
 # Negation cues for X2 (a match preceded within NEG_WINDOW
 # tokens by one of these, or followed by "not required", is skipped).
@@ -25,67 +22,51 @@ NEG_FOLLOW = ["not", "required"]
 
 
 def alias_table(taxonomy: DataFrame) -> DataFrame:
-    """``(canonical, alias)`` -> ``(alias_key, canonical, n_words)`` with the alias
-    normalised like the text (lower-cased letter runs joined by one space)."""
-    key = F.array_join(letter_tokens("alias"), " ")
-    return (taxonomy.select(key.alias("alias_key"), "canonical")
-            .filter(F.length("alias_key") > 0).distinct()
-            .withColumn("n_words", F.size(F.split("alias_key", " "))))
-
-
-def _candidates(tokens_col, first_words: list[str], max_n: int, negation: bool):
-    """Array of struct(pos, gram, neg) for every 1-gram and every n-gram (2..max_n)
-    starting at a token that begins a multi-word alias."""
-    toks = tokens_col
-    size = F.size(toks)
-
-    def neg_at(i, n):
-        if not negation:
-            return F.lit(False)
-        start = F.greatest(i - NEG_WINDOW, F.lit(1))
-        before = F.slice(toks, start, i - start)
-        after = F.slice(toks, i + n, len(NEG_FOLLOW))
-        return (F.arrays_overlap(before, F.array(*[F.lit(w) for w in NEGATION_WORDS]))
-                | (after == F.array(*[F.lit(w) for w in NEG_FOLLOW])))
-
-    parts = [F.transform(F.sequence(F.lit(1), size),
-                         lambda i: F.struct(i.alias("pos"), F.element_at(toks, i).alias("gram"),
-                                            neg_at(i, F.lit(1)).alias("neg")))]
-    if max_n >= 2 and first_words:
-        fw = F.array(*[F.lit(w) for w in first_words])
-        starts = F.filter(F.sequence(F.lit(1), size), lambda i: F.array_contains(fw, F.element_at(toks, i)))
-        def ngram_at(n):
-            # one-argument lambda: PySpark treats a second parameter as the element index
-            return lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(toks, i, F.lit(n)), " ").alias("gram"),
-                                      neg_at(i, F.lit(n)).alias("neg"))
-
-        for n in range(2, max_n + 1):
-            fits_n = (lambda m: (lambda i: i + (m - 1) <= size))(n)
-            parts.append(F.transform(F.filter(starts, fits_n), ngram_at(n)))
-    guard = F.when(size > 0, F.flatten(F.array(*parts))).otherwise(F.array())
-    return guard
+    """``(canonical, alias)`` -> ``(first, more, n_words, canonical)``: the alias tokenised like
+    the text in lower case, its first word and the others joined by one space."""
+    toks = skill_tokens(F.lower("alias"))
+    return (taxonomy.select(toks.alias("_t"), "canonical").filter(F.size("_t") > 0)
+            .select(F.get("_t", 0).alias("first"), F.array_join(F.slice("_t", 2, F.size("_t")), " ").alias("more"),
+                    F.size("_t").alias("n_words"), "canonical").distinct())
 
 
 def extract_skills(docs: DataFrame, taxonomy: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   negation: bool = False) -> DataFrame:
+                   negation: bool = False, strict_short: bool = False) -> DataFrame:
     """X1 (+ X2 with ``negation=True``): per document, every taxonomy skill whose
-    alias occurs in the text (case-insensitive, whole words, all overlapping
+    alias occurs in the text (case-insensitive, whole tokens, all overlapping
     matches kept). Returns ``(id, skill, first_pos, n_matches)``.
 
-    The alias metadata (max n-gram length, first words of multi-word aliases)
-    is read from the alias table, a bounded dimension."""
+    ``strict_short``: aliases of one or two letters match only where the text spells them
+    in upper or title case (C, R, Go), since they over-match in prose."""
     aliases = alias_table(taxonomy)
-    meta = aliases.agg(F.max("n_words").alias("mx"),
-                       F.array_sort(F.collect_set(F.when(F.col("n_words") > 1,
-                                                         F.split("alias_key", " ").getItem(0)))).alias("fw")).first()
-    max_n = int(meta.mx or 1)
-    first_words = list(meta.fw or [])
-    toks = docs.select(F.col(id_col).alias("_id"), letter_tokens(text_col).alias("_toks"))
-    cands = toks.select("_id", F.inline(_candidates(F.col("_toks"), first_words, max_n, negation)))
+    longest = aliases.agg(F.coalesce(F.max("n_words"), F.lit(1))).scalar()
+    t = docs.select(F.col(id_col).alias("_id"), skill_tokens(text_col).alias("_o")).withColumn(
+        "_t", F.transform("_o", lambda x: F.lower(x))).withColumn("_n", longest)
+    toks = F.col("_t")
+
+    def at(x, i):
+        follows = F.slice(toks, i + 2, F.col("_n") - 1 + (len(NEG_FOLLOW) if negation else 0))
+        cells = [(i + 1).alias("pos"), x.alias("first"), F.array_join(follows, " ").alias("then")]
+        if strict_short:
+            cells.append(F.get("_o", i).alias("spelt"))
+        if negation:
+            start = F.greatest(i + 1 - NEG_WINDOW, F.lit(1))
+            cells.append(F.arrays_overlap(F.slice(toks, start, i + 1 - start),
+                                          F.array(*[F.lit(w) for w in NEGATION_WORDS])).alias("neg"))
+        return F.struct(*cells)
+
+    here = t.select("_id", F.inline(F.transform("_t", at)))
+    found = here.join(aliases, "first")
+    # the words that follow must begin with the rest of the alias, at a word's end
+    rest = F.concat(F.col("then"), F.lit(" "))
+    found = found.filter((F.col("more") == "") | rest.startswith(F.concat("more", F.lit(" "))))
+    if strict_short:
+        short = (F.col("n_words") == 1) & F.col("first").rlike(r"^\p{L}{1,2}$")
+        found = found.filter(~short | F.col("spelt").isin(F.upper("first"), F.initcap("first")))
     if negation:
-        cands = cands.filter(~F.col("neg"))
-    m = cands.join(aliases.select(F.col("alias_key").alias("gram"), "canonical"), "gram")
-    return (m.groupBy(F.col("_id").alias(id_col), F.col("canonical").alias("skill"))
+        after = F.when(F.col("more") == "", rest).otherwise(F.substring(rest, F.length("more") + 2, F.length(rest)))
+        found = found.filter(~F.col("neg") & ~after.startswith(" ".join(NEG_FOLLOW) + " "))
+    return (found.groupBy(F.col("_id").alias(id_col), F.col("canonical").alias("skill"))
             .agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n_matches")))
 
 

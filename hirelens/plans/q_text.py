@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hirelens.functions import dates
-from hirelens.functions.text import NATIVE_ENTITIES, html_to_text
+from hirelens.functions.text import html_to_text
 from hirelens.functions.text import first_location as first_loc
 from hirelens.operators import extract as X
 from hirelens.plans.base import clean_postings, r6, skills_long
@@ -13,7 +13,7 @@ from hirelens.plans.registry import register, with_views
 from hirelens.sources import fixtures as fx
 
 # ---- X1 / X2 ----------------------------------------------------------------------
-_MAXN = max(len(a.split()) for a in fx.TEXT_ALIASES)
+_MAXN = 2          # words of the longest alias of the fixture
 
 
 def _grams_sql(negation: bool) -> str:
@@ -26,18 +26,19 @@ def _grams_sql(negation: bool) -> str:
                    f"[{', '.join(repr(w) for w in X.NEGATION_WORDS)}]) "
                    f"OR t[pos + {n}:pos + {n} + {len(X.NEG_FOLLOW) - 1}] = "
                    f"[{', '.join(repr(w) for w in X.NEG_FOLLOW)}])")
-        parts.append(f"SELECT doc_id, pos, {gram} AS gram, {neg} AS neg FROM "
-                     f"(SELECT doc_id, t, unnest(generate_series(1, len(t) - {n - 1})) AS pos FROM toks)")
+        parts.append(f"SELECT doc_id, pos, {gram} AS gram, o[pos] AS spelt, {neg} AS neg FROM "
+                     f"(SELECT doc_id, o, t, unnest(generate_series(1, len(t) - {n - 1})) AS pos FROM toks)")
     return " UNION ALL ".join(parts)
 
 
 def _extract_sql(negation: bool) -> str:
     return with_views("text_aliases", body=f"""
-, toks AS (SELECT doc_id, regexp_extract_all(lower(text), '\\p{{L}}+') AS t FROM documents)
+, toks AS (SELECT doc_id, {fx.sql_tokens('text')} AS o, list_transform({fx.sql_tokens('text')}, lambda x: lower(x)) AS t FROM documents)
 , grams AS ({_grams_sql(negation)})
 SELECT g.doc_id, a.canonical AS skill, min(g.pos) AS first_pos, count(*) AS n_matches
-FROM grams g JOIN text_aliases a ON a.alias = g.gram
-{"WHERE NOT g.neg" if negation else ""}
+FROM grams g JOIN text_aliases a ON a.key = g.gram
+WHERE (NOT regexp_full_match(a.key, '\\p{{L}}{{1,2}}') OR g.spelt IN (upper(a.key), upper(a.key[1]) || a.key[2:]))
+{"AND NOT g.neg" if negation else ""}
 GROUP BY g.doc_id, a.canonical""")
 
 
@@ -45,14 +46,14 @@ GROUP BY g.doc_id, a.canonical""")
 def extract_skills(spark, sf):
     """Dictionary extraction over whole document texts."""
     docs = fx.table(spark, sf, "documents").select("doc_id", "text")
-    return X.extract_skills(docs, fx.text_aliases(spark))
+    return X.extract_skills(docs, fx.text_aliases(spark, sf), strict_short=True)
 
 
 @register("extract_skills_negation", _extract_sql(True))
 def extract_skills_negation(spark, sf):
     """As X1, skipping matches preceded by a negation cue or followed by "not required"."""
     docs = fx.table(spark, sf, "documents").select("doc_id", "text")
-    return X.extract_skills(docs, fx.text_aliases(spark), negation=True)
+    return X.extract_skills(docs, fx.text_aliases(spark, sf), negation=True, strict_short=True)
 
 
 # ---- X3 ----------------------------------------------------------------------------
@@ -71,6 +72,14 @@ def skill_cooccurrence(spark, sf):
 
 
 # ---- T4 ----------------------------------------------------------------------------
+# Entities that the pages and the bridge hold, as the oracle's SQL decodes them (&amp; last).
+NATIVE_ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"),
+    ("&middot;", "\u00b7"), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014"),
+    ("&hellip;", "\u2026"), ("&#169;", "\u00a9"), ("&eacute;", "\u00e9"), ("&#xe9;", "\u00e9"),
+]
+
+
 def _sql_decode(x: str) -> str:
     for ent, ch in NATIVE_ENTITIES:
         x = f"replace({x}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
@@ -91,10 +100,15 @@ def sql_html_strip(col: str) -> str:
     return f"CASE WHEN {col} IS NULL OR trim({col}) = '' THEN '' ELSE {inner} END"
 
 
-@register("html_strip", f"SELECT page_id, {sql_html_strip('html')} AS text FROM pages")
+EXTRA_HTML = "<p>&#169; caf&eacute; caf&#xe9; R&D AT&T &quot;q&quot; &amp;lt; a &middot; b</p>"
+
+
+@register("html_strip", f"SELECT page_id, {sql_html_strip('html')} AS text "
+                        f"FROM (SELECT page_id, html || '{EXTRA_HTML}' AS html FROM pages)")
 def html_strip(spark, sf):
-    """T4: raw web pages -> plain text (native regex chain, Arrow fallback for rare entities)."""
-    p = fx.table(spark, sf, "pages")
+    """T4: raw web pages -> plain text (native regex chain). The bridge
+    adds a paragraph with further entities and bare ampersands to each page."""
+    p = fx.table(spark, sf, "pages").withColumn("html", F.concat("html", F.lit(EXTRA_HTML)))
     return p.select("page_id", html_to_text("html").alias("text"))
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hirelens.functions.text import TOKEN_EDGES, TOKEN_PATTERN, skill_tokens
+
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture (FIXTURES.md §2.1), in index order.
 # ---------------------------------------------------------------------------
@@ -53,7 +55,7 @@ NOUN_CATEGORY = [
 ]
 PLATFORM_PREFIX, PLATFORM_FAMILY = "hot ", "HotSuite"
 NAMED_SLOTS = [("language", "Ring", "ring"), ("genai", "Gizmo", "gizmo"), ("genai", "Gizmo", "small gizmo")]
-TEXT_ALIASES = ["the", "of the", "that", "que", "der", "la"]
+TEXT_ALIASES = ["the", "of the", "that", "que", "der", "la", "C", "C++", "C#", "S3", "D3", "CI/CD", "Node.js", "GPT-4"]
 # ---------------------------------------------------------------------------
 
 
@@ -143,9 +145,16 @@ def named_slots(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(NAMED_SLOTS, "category string, slot string, pattern string")
 
 
-def text_aliases(spark: SparkSession) -> DataFrame:
-    """X1 taxonomy: ``(canonical, alias)``; the alias text is its own canonical."""
-    return spark.createDataFrame([(a, a) for a in TEXT_ALIASES], "canonical string, alias string")
+def text_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 taxonomy ``(canonical, alias)``: the fixed names, and every pair of neighbouring tokens
+    of ``benchmark``; an alias is its own canonical."""
+    fixed = spark.createDataFrame([(a,) for a in TEXT_ALIASES], "alias string")
+    toks = table(spark, sf_dir, "benchmark").select(skill_tokens(F.lower("text")).alias("t"))
+    pairs = toks.where(F.size("t") > 1).select(F.explode(F.zip_with(
+        F.slice("t", 1, F.size("t") - 1), F.slice("t", 2, F.size("t") - 1),
+        lambda a, b: F.concat_ws(" ", a, b))).alias("alias"))
+    out = fixed.unionByName(pairs).distinct()
+    return out.select(F.col("alias").alias("canonical"), "alias")
 
 
 # ---------------------------------------------------------------------------
@@ -224,5 +233,18 @@ categories AS (
 SQL_NAMED_SLOTS = "named_slots(category, slot, pattern) AS (VALUES " + ", ".join(
     f"({_sql_str(c)}, {_sql_str(s)}, {_sql_str(p)})" for c, s, p in NAMED_SLOTS) + ")"
 
-SQL_TEXT_ALIASES = "text_aliases(canonical, alias) AS (VALUES " + ", ".join(
-    f"({_sql_str(a)}, {_sql_str(a)})" for a in TEXT_ALIASES) + ")"
+_edges = TOKEN_EDGES.replace("'", "''")
+_token = TOKEN_PATTERN.replace("'", "''")
+
+
+def sql_tokens(text: str) -> str:
+    return (f"list_filter(list_transform(regexp_extract_all({text}, '{_token}'), "
+            f"lambda x: regexp_replace(x, '{_edges}', '', 'g')), lambda x: x <> '')")
+
+
+SQL_TEXT_ALIASES = f"""
+fx_bench AS (SELECT {sql_tokens('lower(text)')} AS t FROM benchmark),
+text_aliases AS (
+  SELECT alias AS canonical, alias, lower(alias) AS key FROM (
+    SELECT unnest([{", ".join(_sql_str(a) for a in TEXT_ALIASES)}]) AS alias
+    UNION SELECT t[i] || ' ' || t[i + 1] FROM (SELECT t, unnest(range(1, len(t))) AS i FROM fx_bench)))"""
