@@ -10,7 +10,10 @@ internal node of depth >= window. The tree is never built whole:
   windows have equal prefixes. A prefix that occurs once has no internal node below it; its
   suffixes are not sent at all.
 * A prefix with more than ``MAX_RUNS`` runs is lengthened to the whole window, where each
-  node is one class of equal windows; every task sends just its earliest of a class.
+  node is one class of equal windows; every task sends just its earliest of a class. Prefixes
+  that at least ``OFTEN`` of some ``SAMPLE`` sampled documents hold take that way from the
+  start and are not even counted, so no key of the count holds more than a few hundredths of
+  the rows. The sample only routes; results don't depend on it.
 * Tasks take prefixes in order and pack them into groups of some ``GROUP_RUNS`` runs. A group's
   suffixes are sorted by their words; neighbours that agree to depth ``window`` lie under one
   deep internal node, whose earliest suffix stays while the others are repeats.
@@ -35,6 +38,7 @@ from pyspark.sql import functions as F
 from hirelens.llm.common import written
 
 GRAM, MAX_RUNS, GROUP_RUNS, HELD_WINDOWS = 8, 2000, 20_000, 200_000
+SAMPLE, OFTEN = 2000, 20
 _RUN, _WINDOW, _REPEAT = 0, 1, 2                       # kinds of rows on the way to the trees
 _ROW = "kind int, key long, key2 long, doc long, s int, n int, body binary"
 
@@ -98,8 +102,23 @@ class _Batch:
         self.hash = g[ok].view(np.int64)
 
 
-def anchors(docs: DataFrame, window: int) -> DataFrame:
-    """(h, doc, pos): each document's prefixes and where they begin."""
+def frequent(docs: DataFrame, window: int) -> np.ndarray:
+    """Sorted hashes of the prefixes that many documents of a bounded sample hold."""
+    n = max(1, docs.count())
+    sample = docs.where((F.xxhash64(F.lit("often"), "doc") + 2.0**63) / 2.0**64 < SAMPLE / n).limit(2 * SAMPLE)
+    found = (anchors(sample, window, np.zeros(0, np.int64)).groupBy("h")
+             .agg(F.countDistinct("doc").alias("c")).where(F.col("c") >= OFTEN).select("h").collect())
+    return np.sort(np.array([r["h"] for r in found], np.int64))
+
+
+def _member(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
+    if not len(sorted_values):
+        return np.zeros(len(x), bool)
+    return sorted_values[np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)] == x
+
+
+def anchors(docs: DataFrame, window: int, often: np.ndarray) -> DataFrame:
+    """(h, doc, pos): each document's prefixes and where they begin, those in ``often`` left out."""
     def run(batches):
         hashes = _Hashes()
         for b in batches:
@@ -108,6 +127,7 @@ def anchors(docs: DataFrame, window: int) -> DataFrame:
                 x = _Batch(part.column(1).to_pylist(), window, hashes)
                 new = np.ones(len(x.at), bool)
                 new[1:] = (x.at[1:] != x.at[:-1])
+                new &= ~_member(often, x.hash)
                 at, doc = x.at[new], x.doc[new]
                 ids = part.column(0).to_numpy()
                 yield pa.RecordBatch.from_arrays(
@@ -117,9 +137,9 @@ def anchors(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "h long, doc long, pos int")
 
 
-def suffixes(docs: DataFrame, window: int) -> DataFrame:
+def suffixes(docs: DataFrame, window: int, often: np.ndarray) -> DataFrame:
     """Rows for the trees from (doc, text, places): runs of words around repeated prefixes,
-    and whole windows where the prefix is very frequent (their places are negative)."""
+    and whole windows where the prefix is very frequent (in ``often``, or its place negative)."""
     def run(batches):
         hashes = _Hashes()
         held: dict[bytes, tuple[int, int]] = {}         # earliest of each frequent window so far
@@ -148,14 +168,16 @@ def suffixes(docs: DataFrame, window: int) -> DataFrame:
                 ends = np.append(head[1:], len(x.at))
                 run_doc, run_pos = x.doc[head], x.at[head] - x.first[x.doc[head]]
                 bounds = np.searchsorted(run_doc, np.arange(len(ids) + 1))
+                known = _member(often, x.hash[head])
                 for d, (doc, own) in enumerate(zip(ids, places)):
                     w, base = x.words[d], x.first[d]
-                    own = np.array(own)
+                    own = np.array(own or [], np.int64)
                     pos = np.where(own < 0, ~own, own)
                     i = bounds[d] + np.searchsorted(run_pos[bounds[d]:bounds[d + 1]], pos)
-                    for r, often in zip(i.tolist(), (own < 0).tolist()):
+                    far = bounds[d] + np.flatnonzero(known[bounds[d]:bounds[d + 1]])
+                    for r, whole in [*zip(i.tolist(), (own < 0).tolist()), *((r, True) for r in far.tolist())]:
                         s, n = int(x.start[head[r]] - base), int(ends[r] - head[r])
-                        if not often:
+                        if not whole:
                             out.append((_RUN, int(x.hash[head[r]]), 0, doc, s, n,
                                         b" ".join(w[s:s + n + window - 1])))
                             continue
@@ -282,11 +304,12 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def repeated_windows(docs: DataFrame, window: int = 20) -> DataFrame:
     """(doc, places: array<struct<s, e>>): starts s..e of repeated windows, of (doc, text) rows."""
-    a = anchors(docs, window)
-    often = a.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
+    often = frequent(docs, window)
+    a = anchors(docs, window, often)
+    again = a.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
     at = F.when(F.col("c") > MAX_RUNS, -F.col("pos") - 1).otherwise(F.col("pos"))
-    places = a.join(often, "h").groupBy("doc").agg(F.collect_list(at).alias("places"))
-    rows = suffixes(docs.join(places, "doc").select("doc", "text", "places"), window)
+    places = a.join(again, "h").groupBy("doc").agg(F.collect_list(at).alias("places"))
+    rows = suffixes(docs.join(places, "doc", "left").select("doc", "text", "places"), window, often)
     rows = rows.repartition("key").sortWithinPartitions("kind", "key", "key2", "doc", "s")
     return (tree_repeats(rows, window).groupBy("doc")
             .agg(F.collect_list(F.struct("s", "e")).alias("places")))
