@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from hirelens.functions import rules
 from hirelens.functions.text import company_clean, text_or_empty
 from hirelens.schema import finalise
-from hirelens.sources import fixtures as fx
 
 
 def tag_postings(raw: DataFrame, *, use_hint: bool = True, strict_geo: bool = False) -> DataFrame:
@@ -42,12 +41,12 @@ def filter_roles(df: DataFrame, roles=tuple(rules.DS_TITLES)) -> DataFrame:
     return df.filter(F.col("canonical_title").isin(list(roles)))
 
 
-def filter_years(df: DataFrame, years=tuple(fx.VALID_YEARS)) -> DataFrame:
+def filter_years(df: DataFrame, years) -> DataFrame:
     """keep valid years; a null year is dropped."""
     return df.filter(F.col("year").isin(list(years)))
 
 
-def anomalous_mask(years=tuple(fx.VALID_YEARS)) -> Column:
+def anomalous_mask(years) -> Column:
     """complement of F2 (null year counts as anomalous)."""
     return ~F.coalesce(F.col("year").isin(list(years)), F.lit(False))
 
@@ -57,15 +56,16 @@ def filter_geo(df: DataFrame, geo: str = "US") -> DataFrame:
     return df.filter(F.col("geo") == geo)
 
 
-def artefact_mask(source: str = fx.ARTEFACT_SOURCE, min_year: int = fx.ARTEFACT_MIN_YEAR) -> Column:
+def artefact_mask(source: str, min_year: int) -> Column:
     """F4 condition (null-safe): the residual date artefacts of one source."""
     return F.coalesce((F.col("source") == source) & (F.col("year") < min_year), F.lit(False))
 
 
-def load_clean(unified: DataFrame, *, drop_artefacts: bool = True) -> DataFrame:
-    """Drop residual artefacts (F4) and duplicates (F6); both predicates push down."""
+def load_clean(unified: DataFrame, artefacts: tuple[str, int] | None = None) -> DataFrame:
+    """Drop duplicates (F6) and, if ``artefacts`` = (source, first good year) is given, the
+    residual date artefacts of that source (F4); both predicates push down."""
     out = unified.filter(~F.col("is_duplicate"))
-    return out.filter(~artefact_mask()) if drop_artefacts else out
+    return out if artefacts is None else out.filter(~artefact_mask(*artefacts))
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:
@@ -102,19 +102,9 @@ def flag_duplicates(df: DataFrame, keys=("company", "canonical_title"), date: st
     return out.select(*df.columns) if "is_duplicate" in df.columns else out
 
 
-def unify(raw: DataFrame, *, roles=tuple(rules.DS_TITLES), years=tuple(fx.VALID_YEARS),
+def unify(raw: DataFrame, years, *, roles=tuple(rules.DS_TITLES),
           geo: str = "US", strict_geo: bool = False) -> DataFrame:
     """End-to-end cleaning: tag -> F1 -> F2 -> F5 -> W1, 13 unified columns."""
     t = tag_postings(raw, strict_geo=strict_geo)
     t = filter_geo(filter_years(filter_roles(t, roles), years), geo)
     return flag_duplicates(t)
-
-
-def unified_postings(spark, sf_dir: str, with_text: bool = False) -> DataFrame:
-    """The unified postings table over the fixture raw postings."""
-    return unify(fx.postings_raw(spark, sf_dir, with_text=with_text))
-
-
-def tagged_postings(spark, sf_dir: str, with_text: bool = False) -> DataFrame:
-    """Tagged + finalised postings before any scope filter."""
-    return tag_postings(fx.postings_raw(spark, sf_dir, with_text=with_text))

@@ -62,6 +62,16 @@ def persisted(spark, sf_dir: str, name: str, build, partition_cols=()) -> DataFr
     return spark.read.parquet(path)
 
 
+def unified_postings(spark, sf_dir: str, with_text: bool = False) -> DataFrame:
+    """The unified postings table over the fixture raw postings."""
+    return C.unify(fx.postings_raw(spark, sf_dir, with_text=with_text), fx.VALID_YEARS)
+
+
+def tagged_postings(spark, sf_dir: str, with_text: bool = False) -> DataFrame:
+    """Tagged + finalised postings before any scope filter."""
+    return C.tag_postings(fx.postings_raw(spark, sf_dir, with_text=with_text))
+
+
 def lookup(spark, sf_dir: str) -> DataFrame:
     return TX.reverse_lookup(fx.dictionary(spark, sf_dir))
 
@@ -82,7 +92,7 @@ def with_description(spark, sf_dir: str, df: DataFrame) -> DataFrame:
 
 def build_final_postings(spark, sf_dir: str) -> DataFrame:
     """Unified postings (T*, F1, F2, F5, W1) with text and skills_present (J3 + J4)."""
-    u = C.unified_postings(spark, sf_dir, with_text=False)
+    u = unified_postings(spark, sf_dir)
     u = with_description(spark, sf_dir, u)
     skills = TX.map_skills(fx.extractions(spark, sf_dir), lookup(spark, sf_dir))
     return TX.attach_skills(u, skills)
@@ -99,7 +109,7 @@ def clean_postings(spark, sf_dir: str, with_text: bool = False) -> DataFrame:
     u = final_postings(spark, sf_dir)
     if not with_text:
         u = u.drop("description_text")
-    return C.load_clean(u).withColumn("snapshot", snapshot_of("year", fx.SNAPSHOT_MAP))
+    return C.load_clean(u, (fx.ARTEFACT_SOURCE, fx.ARTEFACT_MIN_YEAR)).withColumn("snapshot", snapshot_of("year", fx.SNAPSHOT_MAP))
 
 
 def skills_long(spark, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from hirelens.functions import rules
 from hirelens.operators import clean as C
-from hirelens.plans.base import clean_postings, r6
+from hirelens.plans.base import clean_postings, final_postings, r6, tagged_postings, unified_postings
+from hirelens.schema import FINAL_COLS
 from hirelens.plans.registry import _in, register, sql_geo, sql_seniority, sql_title, with_views
 from hirelens.sources import fixtures as fx
 
@@ -67,7 +68,7 @@ _FINAL_SQL_COLS = ("posting_id, source, date, year, quarter, canonical_title, ra
 SELECT {_FINAL_SQL_COLS} false AS is_duplicate FROM tagged"""))
 def finalise_q(spark, sf):
     """Every posting in the unified schema (text as its length)."""
-    t = C.tagged_postings(spark, sf, with_text=True)
+    t = tagged_postings(spark, sf, with_text=True)
     return t.select("posting_id", "source", "date", "year", "quarter", "canonical_title", "raw_title",
                     "company", "geo", "seniority", F.char_length("description_text").cast("long").alias("desc_chars"),
                     F.size("skills_present").cast("long").alias("n_skills"), "is_duplicate")
@@ -77,14 +78,14 @@ def finalise_q(spark, sf):
 SELECT posting_id, source, canonical_title FROM tagged WHERE canonical_title IN ({ROLE_LIST})"""))
 def filter_roles(spark, sf):
     """F1."""
-    return C.filter_roles(C.tagged_postings(spark, sf)).select("posting_id", "source", "canonical_title")
+    return C.filter_roles(tagged_postings(spark, sf)).select("posting_id", "source", "canonical_title")
 
 
 @register("filter_years", with_views("tagged", body=f"""
 SELECT posting_id, source, year FROM tagged WHERE canonical_title IN ({ROLE_LIST}) AND year IN ({YEAR_LIST})"""))
 def filter_years(spark, sf):
     """F1 + F2."""
-    return C.filter_years(C.filter_roles(C.tagged_postings(spark, sf))).select("posting_id", "source", "year")
+    return C.filter_years(C.filter_roles(tagged_postings(spark, sf)), fx.VALID_YEARS).select("posting_id", "source", "year")
 
 
 @register("anomalous_years", with_views("tagged", body=f"""
@@ -93,8 +94,8 @@ WHERE canonical_title IN ({ROLE_LIST}) AND NOT coalesce(year IN ({YEAR_LIST}), f
 GROUP BY source, year"""))
 def anomalous_years(spark, sf):
     """rows outside the valid years, by source x year."""
-    t = C.filter_roles(C.tagged_postings(spark, sf))
-    return t.filter(C.anomalous_mask()).groupBy("source", "year").agg(F.count(F.lit(1)).alias("n"))
+    t = C.filter_roles(tagged_postings(spark, sf))
+    return t.filter(C.anomalous_mask(fx.VALID_YEARS)).groupBy("source", "year").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("filter_geo", with_views("tagged", body=f"""
@@ -102,7 +103,7 @@ SELECT posting_id, source, geo FROM tagged
 WHERE canonical_title IN ({ROLE_LIST}) AND year IN ({YEAR_LIST}) AND geo = 'US'"""))
 def filter_geo(spark, sf):
     """F1 + F2 + F5."""
-    t = C.filter_geo(C.filter_years(C.filter_roles(C.tagged_postings(spark, sf))))
+    t = C.filter_geo(C.filter_years(C.filter_roles(tagged_postings(spark, sf)), fx.VALID_YEARS))
     return t.select("posting_id", "source", "geo")
 
 
@@ -132,7 +133,7 @@ UNION ALL SELECT 'year', CAST(year AS VARCHAR), count(*) FROM unified GROUP BY y
 def value_counts(spark, sf):
     """A1: counts by title, geo, source and year in ONE pass (explode of
     (dimension, value) pairs, then one partial-aggregated groupBy)."""
-    u = C.unified_postings(spark, sf)
+    u = unified_postings(spark, sf)
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value"))
                       for d in ("canonical_title", "geo", "source", "year")])
     e = u.select(F.inline(pairs))
@@ -147,7 +148,7 @@ SELECT source, {', '.join(f"count(*) FILTER (WHERE geo = '{g}') AS geo_{g}" for
 FROM tagged WHERE canonical_title IN ({ROLE_LIST}) AND year IN ({YEAR_LIST}) GROUP BY source"""))
 def crosstab(spark, sf):
     """A2: source x geo before the US filter, zero-filled, explicit pivot values (no extra job)."""
-    t = C.filter_years(C.filter_roles(C.tagged_postings(spark, sf)))
+    t = C.filter_years(C.filter_roles(tagged_postings(spark, sf)), fx.VALID_YEARS)
     p = t.groupBy("source").pivot("geo", _GEOS).agg(F.count(F.lit(1)))
     return p.select("source", *[F.coalesce(F.col(g), F.lit(0)).cast("long").alias(f"geo_{g}") for g in _GEOS])
 
@@ -160,7 +161,7 @@ SELECT source, {', '.join(f"count(*) FILTER (WHERE seniority = '{g}') AS sen_{g}
 FROM unified WHERE NOT is_duplicate GROUP BY source"""))
 def crosstab_seniority(spark, sf):
     """A2: seniority by source on the non-duplicate rows, zero-filled."""
-    u = C.unified_postings(spark, sf).filter(~F.col("is_duplicate"))
+    u = unified_postings(spark, sf).filter(~F.col("is_duplicate"))
     p = u.groupBy("source").pivot("seniority", _SEN).agg(F.count(F.lit(1)))
     return p.select("source", *[F.coalesce(F.col(g), F.lit(0)).cast("long").alias(f"sen_{g}") for g in _SEN])
 
@@ -170,17 +171,37 @@ SELECT year, {', '.join(f"count(*) FILTER (WHERE canonical_title = '{t}') AS \"{
 FROM unified WHERE NOT is_duplicate GROUP BY year"""))
 def crosstab_title_year(spark, sf):
     """A2: year x canonical title (post-dedup), zero-filled."""
-    u = C.unified_postings(spark, sf).filter(~F.col("is_duplicate"))
+    u = unified_postings(spark, sf).filter(~F.col("is_duplicate"))
     p = u.groupBy("year").pivot("canonical_title", rules.DS_TITLES).agg(F.count(F.lit(1)))
     return p.select("year", *[F.coalesce(F.col(f"`{t}`"), F.lit(0)).cast("long").alias(t) for t in rules.DS_TITLES])
 
 
+@register("crosstab_source_year", with_views("tagged", body=f"""
+SELECT source, {', '.join(f"count(*) FILTER (WHERE year = {y}) AS y{y}" for y in fx.VALID_YEARS)}
+FROM tagged WHERE canonical_title IN ({ROLE_LIST}) GROUP BY source"""))
+def crosstab_source_year(spark, sf):
+    """A2: source x valid year of the in-scope roles, zero-filled."""
+    t = C.filter_roles(tagged_postings(spark, sf))
+    p = t.groupBy("source").pivot("year", fx.VALID_YEARS).agg(F.count(F.lit(1)))
+    return p.select("source", *[F.coalesce(F.col(str(y)), F.lit(0)).cast("long").alias(f"y{y}") for y in fx.VALID_YEARS])
+
+
+@register("crosstab_source_title", with_views("unified", body=f"""
+SELECT source, {', '.join(f"count(*) FILTER (WHERE canonical_title = '{t}') AS \"{t}\"" for t in rules.DS_TITLES)}
+FROM unified WHERE NOT is_duplicate GROUP BY source"""))
+def crosstab_source_title(spark, sf):
+    """A2: source x canonical title (post-dedup), zero-filled."""
+    u = unified_postings(spark, sf).filter(~F.col("is_duplicate"))
+    p = u.groupBy("source").pivot("canonical_title", rules.DS_TITLES).agg(F.count(F.lit(1)))
+    return p.select("source", *[F.coalesce(F.col(f"`{t}`"), F.lit(0)).cast("long").alias(t) for t in rules.DS_TITLES])
+
+
 @register("role_share", with_views("unified", body="""
 SELECT source, canonical_title, n, round(n / sum(n) OVER (PARTITION BY source), 6) AS share
 FROM (SELECT source, canonical_title, count(*) AS n FROM unified GROUP BY source, canonical_title)"""))
 def role_share(spark, sf):
     """A3: row share of each title within its source (window over the small aggregate)."""
-    u = C.unified_postings(spark, sf)
+    u = unified_postings(spark, sf)
     g = u.groupBy("source", "canonical_title").agg(F.count(F.lit(1)).alias("n"))
     return g.withColumn("share", r6(F.col("n") / F.sum("n").over(Window.partitionBy("source"))))
 
@@ -189,7 +210,7 @@ def role_share(spark, sf):
 SELECT posting_id, company, canonical_title, date, is_duplicate FROM unified"""))
 def dedup_30d(spark, sf):
     """The chained 30-day duplicate flag."""
-    return C.unified_postings(spark, sf).select("posting_id", "company", "canonical_title", "date", "is_duplicate")
+    return unified_postings(spark, sf).select("posting_id", "company", "canonical_title", "date", "is_duplicate")
 
 
 @register("dedup_stats", with_views("unified", body="""
@@ -199,7 +220,7 @@ SELECT source, count(*) AS n, count(*) FILTER (WHERE is_duplicate) AS n_duplicat
 FROM unified GROUP BY source"""))
 def dedup_stats(spark, sf):
     """Flagged n and rate, clean n, by source."""
-    u = C.unified_postings(spark, sf)
+    u = unified_postings(spark, sf)
     d = F.col("is_duplicate")
     return u.groupBy("source").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(d).alias("n_duplicate"),
@@ -212,7 +233,7 @@ SELECT source, canonical_title, count(*) AS n, count(*) FILTER (WHERE is_duplica
 FROM unified GROUP BY source, canonical_title"""))
 def dedup_by_title(spark, sf):
     """Dedup rate by (source, title)."""
-    u = C.unified_postings(spark, sf)
+    u = unified_postings(spark, sf)
     d = F.col("is_duplicate")
     return u.groupBy("source", "canonical_title").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(d).alias("n_duplicate"), r6(F.avg(d.cast("double"))).alias("dup_rate"))
@@ -229,7 +250,7 @@ ORDER BY g.year, g.company, g.canonical_title, g.source LIMIT 20"""))
 def cross_source_dupes(spark, sf):
     """(year, company, title) present in more than one source; per-source counts,
     top 20 by (year, company). Null company dropped."""
-    u = C.unified_postings(spark, sf).filter(F.col("company").isNotNull())
+    u = unified_postings(spark, sf).filter(F.col("company").isNotNull())
     g = u.groupBy("year", "company", "canonical_title", "source").agg(F.count(F.lit(1)).alias("n"))
     k = (g.groupBy("year", "company", "canonical_title").agg(F.count_distinct("source").alias("_ns"))
          .filter(F.col("_ns") > 1).drop("_ns"))
@@ -237,23 +258,24 @@ def cross_source_dupes(spark, sf):
             .orderBy("year", "company", "canonical_title", "source").limit(20))
 
 
-_UCOLS = ["posting_id", "source", "date", "year", "quarter", "canonical_title", "raw_title",
-          "company", "geo", "seniority", "description_text", "skills_present", "is_duplicate"]
-
-
-@register("null_rates", with_views("unified", body="""
+@register("null_rates", with_views("unified", "mapped", body="""
+, u AS (SELECT unified.*, nullif(description_text, '') AS txt, k.posting_id AS skilled
+        FROM unified LEFT JOIN (SELECT DISTINCT posting_id FROM mapped) k ON k.posting_id = unified.posting_id)
 SELECT column_name, null_pct FROM (
   UNPIVOT (SELECT """ + ", ".join(
-    f"round(100.0 * (count(*) - count({c})) / count(*), 6) AS {c}" for c in _UCOLS if c != "skills_present") +
-    """ FROM unified) ON COLUMNS(*) INTO NAME column_name VALUE null_pct)
+    f"round(100.0 * (count(*) - count({ {'description_text': 'txt', 'skills_present': 'skilled'}.get(c, 'u.' + c) })) / count(*), 6) AS {c}"
+    for c in FINAL_COLS) +
+    """ FROM u) ON COLUMNS(*) INTO NAME column_name VALUE null_pct)
 WHERE null_pct > 0"""))
 def null_rates(spark, sf):
-    """% null per column in one aggregate pass, unpivoted, only > 0."""
-    u = C.unified_postings(spark, sf)
-    cols = [c for c in _UCOLS if c != "skills_present"]
-    agg = u.agg(*[r6(100.0 * (F.count(F.lit(1)) - F.count(c)) / F.count(F.lit(1))).alias(c) for c in cols])
-    long = agg.unpivot([], cols, "column_name", "null_pct")
-    return long.filter(F.col("null_pct") > 0)
+    """% missing per column of the persisted table (real texts and skills; an empty text or an
+    empty skill list counts as missing) in one aggregate pass, unpivoted, only > 0."""
+    u = final_postings(spark, sf)
+    value = {"description_text": F.nullif("description_text", F.lit("")),
+             "skills_present": F.when(F.size("skills_present") > 0, 1)}
+    n = F.count(F.lit(1))
+    agg = u.agg(*[r6(100.0 * (n - F.count(value.get(c, F.col(c)))) / n).alias(c) for c in FINAL_COLS])
+    return agg.unpivot([], FINAL_COLS, "column_name", "null_pct").filter(F.col("null_pct") > 0)
 
 
 @register("label_coverage", with_views("unified", body="""
@@ -263,7 +285,7 @@ SELECT source, count(*) AS n,
 FROM unified WHERE NOT is_duplicate GROUP BY source"""))
 def label_coverage(spark, sf, limit: float = 0.5):
     """Share of unclassified seniority per source; flag sources above ``limit``."""
-    u = C.unified_postings(spark, sf).filter(~F.col("is_duplicate"))
+    u = unified_postings(spark, sf).filter(~F.col("is_duplicate"))
     share = F.avg((F.col("seniority") == "unclassified").cast("double"))
     return u.groupBy("source").agg(F.count(F.lit(1)).alias("n"), r6(share).alias("unclassified_share"),
                                    (share > limit).alias("unusable"))
@@ -281,7 +303,7 @@ SELECT posting_id, company, canonical_title, date FROM unified
 ORDER BY company NULLS LAST, canonical_title, date NULLS LAST, posting_id"""))
 def sorted_postings(spark, sf):
     """Stable multi-key sort (range-partitioned global sort)."""
-    u = C.unified_postings(spark, sf)
+    u = unified_postings(spark, sf)
     return u.select("posting_id", "company", "canonical_title", "date").orderBy(
         F.col("company").asc_nulls_last(), "canonical_title", F.col("date").asc_nulls_last(), "posting_id")
 

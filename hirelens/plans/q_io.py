@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hirelens.functions import dates
+from hirelens.functions.rules import DS_TITLES
 from hirelens.functions.text import first_location
 from hirelens.operators import batching as B
 from hirelens.operators import clean as C
 from hirelens.operators import parse as P
 from hirelens.operators import taxonomy as TX
-from hirelens.plans.base import clean_postings, final_postings, skills_long
-from hirelens.plans.registry import register, with_views
+from hirelens.plans.base import clean_postings, final_postings, skills_long, unified_postings
+from hirelens.plans.q_text import sql_html_strip
+from hirelens.plans.registry import _in, register, sql_geo, sql_seniority, sql_title, with_views
+from hirelens.sources import feeds as FD
 from hirelens.sources import fixtures as fx
 from hirelens.sources import io as IO
 
@@ -114,12 +117,69 @@ def src_resolve_columns(spark, sf):
                     loc.alias("location"), F.to_date(ts).alias("date"))
 
 
+# ---- raw feed files to the unified table -------------------------------------------------
+FEED_ANCHOR = "1998-07-01"
+_FEED_HTML = "'<p>' || replace(replace(description_text, '&', '&amp;'), '<', '&lt;') || '</p>'"
+
+
+@register("feeds_to_unified", with_views("postings_raw", body=f"""
+, fed AS (
+  SELECT source, row_number() OVER (PARTITION BY source ORDER BY native_id) - 1 AS pos, native_id, raw_title, location,
+         CASE WHEN source = 'network_b' THEN level_hint END AS level_hint, trim(split_part(company, chr(10), 1)) AS company,
+         CASE WHEN source = 'board_a' THEN DATE '{FEED_ANCHOR}' ELSE date END AS date,
+         CASE WHEN source = 'ats_c' THEN {sql_html_strip(_FEED_HTML)} ELSE coalesce(description_text, '') END AS description_text
+  FROM postings_raw),
+tag AS (
+  SELECT source || ':' || CAST(CASE WHEN source = 'board_a' THEN pos ELSE native_id END AS VARCHAR) AS posting_id, source, date,
+         CAST(year(date) AS INTEGER) AS year, {sql_title('trim(raw_title)')} AS canonical_title, company,
+         {sql_geo('location')} AS geo, {sql_seniority('trim(raw_title)', 'level_hint')} AS seniority, description_text
+  FROM fed)
+SELECT posting_id, source, date, canonical_title, company, seniority, md5(description_text) AS text_md5,
+       coalesce(company IS NOT NULL AND date IS NOT NULL AND
+         date_diff('day', lag(date) OVER (PARTITION BY company, canonical_title ORDER BY date, posting_id), date) <= 30,
+         false) AS is_duplicate
+FROM tag WHERE canonical_title IN ({_in(DS_TITLES)}) AND year IN ({_in(fx.VALID_YEARS)}) AND geo = 'US'"""))
+def feeds_to_unified(spark, sf):
+    """J1 from raw files: an undated CSV (T7, T11), a CSV with epoch milliseconds (T9, hint) and two
+    Parquet files with drifting names (S4, T4, T8, T10), each through its adapter, then F1, F2, F5, W1."""
+    raw = fx.postings_raw(spark, sf, with_text=True)
+    a, b, c = (IO.scratch_path(spark, f"feed_{x}") for x in "abc")
+    own = raw.filter(F.col("source") == "board_a")
+    IO.write_csv(own.repartitionByRange("native_id").sortWithinPartitions("native_id").select(
+        F.col("raw_title").alias("Job Title"), F.col("description_text").alias("Job Description"),
+        F.concat("company", F.lit("\n3.9")).alias("Company Name"), F.col("location").alias("Location"),
+        F.lit(3.9).alias("Rating")), a)
+    IO.write_csv(raw.filter(F.col("source") == "network_b").select(
+        F.col("native_id").alias("job_id"), F.col("raw_title").alias("title"), F.col("company").alias("company_name"),
+        F.col("description_text").alias("description"), "location",
+        F.col("level_hint").alias("formatted_experience_level"),
+        (F.unix_date("date") * F.lit(86_400_000).cast("long") + 43_200_000).cast("string").alias("listed_time")), b)
+    html = F.concat(F.lit("<p>"), F.replace(F.replace("description_text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                    F.lit("</p>"))
+    iso = F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T12:00:00Z"))
+    ats = raw.filter(F.col("source") == "ats_c")
+    ats.filter("native_id % 2 = 0").select(
+        F.col("native_id").alias("id"), F.col("raw_title").alias("title"), html.alias("description_html"),
+        F.col("company").alias("source_slug"), F.array("location").alias("locations"), iso.alias("posted_at")).write.parquet(f"{c}/one")
+    ats.filter("native_id % 2 = 1").select(
+        F.col("native_id").alias("external_id"), F.col("raw_title").alias("job_title"), html.alias("content"),
+        F.col("company").alias("company_name"), F.col("location"), iso.alias("updated_at")).write.parquet(f"{c}/two")
+
+    frames = [FD.undated_csv(IO.read_csv(spark, a, FD.UNDATED_CSV), "board_a", FEED_ANCHOR),
+              FD.epoch_csv(IO.read_csv(spark, b, FD.EPOCH_CSV), "network_b"),
+              FD.drifting_parquet(IO.read_tagged_union(spark, {"one": f"{c}/one", "two": f"{c}/two"}), "ats_c")]
+    frames = [f.withColumn("native_id", F.col("native_id").cast("string")) for f in frames]
+    u = C.unify(C.union_sources(frames), fx.VALID_YEARS)
+    return u.select("posting_id", "source", "date", "canonical_title", "company", "seniority",
+                    F.md5(F.col("description_text").cast("binary")).alias("text_md5"), "is_duplicate")
+
+
 # ---- S5 / S6 / S7 ----------------------------------------------------------------------
 @register("sink_roundtrip", with_views("unified", body="SELECT posting_id, source, year, is_duplicate FROM unified"))
 def sink_roundtrip(spark, sf):
     """Unified table written as parquet partitioned by (source, year), read back."""
     path = IO.scratch_path(spark, "unified")
-    IO.write_unified(C.unified_postings(spark, sf), path)
+    IO.write_unified(unified_postings(spark, sf), path)
     return spark.read.parquet(path).select("posting_id", "source", "year", "is_duplicate")
 
 
@@ -127,11 +187,19 @@ def sink_roundtrip(spark, sf):
 def sink_clean(spark, sf):
     """Non-duplicate rows only, written and read back."""
     path = IO.scratch_path(spark, "clean")
-    IO.write_clean(C.unified_postings(spark, sf), path)
+    IO.write_clean(unified_postings(spark, sf), path)
     return spark.read.parquet(path).select("posting_id", "source")
 
 
-@register("verify_schema")
+_SCHEMA_ROWS = [("posting_id", "string"), ("date", "date"), ("quarter", "string"), ("canonical_title", "string"),
+                ("raw_title", "string"), ("company", "string"), ("geo", "string"), ("seniority", "string"),
+                ("description_text", "string"), ("skills_present", "array<string>"), ("is_duplicate", "boolean"),
+                ("source", "string"), ("year", "int")]
+
+
+@register("verify_schema", with_views("unified", body=f"""
+SELECT v.position, v.column_name, v.data_type, true AS matches, (SELECT count(*) FROM unified) AS n_rows
+FROM (VALUES {", ".join(f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate(_SCHEMA_ROWS))}) v(position, column_name, data_type)"""))
 def verify_schema(spark, sf):
     """Reload the persisted unified table; one row per column (position, name,
     type, unified-schema match) with the row count."""
@@ -208,7 +276,12 @@ def make_batches(spark, sf):
     return _batched(spark, sf).select("posting_id", "batch")
 
 
-@register("batch_payloads")
+@register("batch_payloads", with_views("clean", body=f"""
+SELECT batch, count(*) AS n_items,
+       '{{' || string_agg(CAST(to_json(posting_id) AS VARCHAR) || ':' || CAST(to_json(description_text) AS VARCHAR), ','
+                         ORDER BY posting_id) || '}}' AS payload
+FROM (SELECT posting_id, description_text, CAST((row_number() OVER (ORDER BY posting_id) - 1) // {BATCH} AS BIGINT) AS batch
+      FROM clean) GROUP BY batch"""))
 def batch_payloads(spark, sf):
     """Per batch one JSON object posting_id -> description text."""
     return B.batch_payloads(_batched(spark, sf, with_text=True), "posting_id", "description_text")
@@ -226,7 +299,9 @@ def pending_batches(spark, sf):
         F.col("batch").cast("long").alias("batch"), "n_ids", "n_done")
 
 
-@register("spot_check")
+@register("spot_check", with_views("unified", body="""
+SELECT posting_id, source, company, canonical_title, date FROM unified WHERE is_duplicate
+ORDER BY md5('42:' || posting_id), posting_id LIMIT 20"""))
 def spot_check(spark, sf, n: int = 20, seed: int = 42):
     """Seeded sample of flagged duplicates for manual review."""
     u = final_postings(spark, sf).filter(F.col("is_duplicate"))
@@ -234,7 +309,12 @@ def spot_check(spark, sf, n: int = 20, seed: int = 42):
                                                             "date")
 
 
-@register("spot_check_skills")
+@register("spot_check_skills", with_views("clean", "mapped", body="""
+, k AS (SELECT posting_id, list(skill ORDER BY first_pos, skill) AS l FROM mapped GROUP BY posting_id)
+SELECT c.posting_id, c.canonical_title, replace(substr(c.description_text, 1, 120), chr(10), ' ') AS snippet,
+       CAST(len(k.l) AS INTEGER) AS n_skills, array_to_string(k.l[1:10], '|') AS first_skills
+FROM clean c JOIN k ON k.posting_id = c.posting_id
+ORDER BY md5('42:' || c.posting_id), c.posting_id LIMIT 5"""))
 def spot_check_skills(spark, sf, n: int = 5, seed: int = 42):
     """Seeded sample of extracted postings: 120-char snippet and first 10 skills."""
     c = clean_postings(spark, sf, with_text=True).filter(F.size("skills_present") > 0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hirelens.operators import clean as C
+from hirelens.plans.base import tagged_postings
 from hirelens.plans.registry import register, with_views
 from hirelens.sources import fixtures as fx
 from hirelens.sources import io as IO
@@ -37,7 +38,7 @@ def ingest_incremental(spark, sf):
 def dedup_stream(spark, sf):
     """The 30-day chained flag as a stateful stream; yearly drops arrive in date
     order, state = last posting date per (company, title)."""
-    scoped = C.filter_geo(C.filter_years(C.filter_roles(C.tagged_postings(spark, sf))))
+    scoped = C.filter_geo(C.filter_years(C.filter_roles(tagged_postings(spark, sf)), fx.VALID_YEARS))
     scoped = scoped.select("posting_id", "company", "canonical_title", "date", "year")
     feed, target, ckpt, state = (IO.scratch_path(spark, n) for n in ("dedup_feed", "dedup_out", "dedup_ckpt", "dedup_state"))
     for y in fx.VALID_YEARS:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from hirelens.operators import clean as C
 from hirelens.operators import batching as B
 from hirelens.operators import taxonomy as TX
-from hirelens.plans.base import clean_postings, clean_with_counts, lookup, mapped, r6
+from hirelens.plans.base import clean_postings, clean_with_counts, lookup, mapped, r6, unified_postings
 from hirelens.plans.registry import register, with_views
 from hirelens.sources import fixtures as fx
 from hirelens.sources import io as IO
@@ -55,7 +55,7 @@ FROM unified u LEFT JOIN (SELECT posting_id, string_agg(skill, '|' ORDER BY firs
   ON u.posting_id = s.posting_id"""))
 def attach_skills(spark, sf):
     """Every unified posting keeps its row; none -> []."""
-    u = C.unified_postings(spark, sf)
+    u = unified_postings(spark, sf)
     m = TX.map_skills(fx.extractions(spark, sf), lookup(spark, sf))
     a = TX.attach_skills(u, m)
     return a.select("posting_id", F.array_join("skills_present", "|").alias("skills"),
@@ -92,12 +92,15 @@ def vocab(spark, sf, min_count: int = 2):
 
 
 @register("vocab_stats", with_views("extractions", body="""
+SELECT metric, CAST(value AS DOUBLE) AS value FROM (
 SELECT 'postings' AS metric, CAST(count(DISTINCT posting_id) AS BIGINT) AS value FROM extractions
 UNION ALL SELECT 'empty_postings', CAST(count(DISTINCT posting_id) FILTER (WHERE term IS NULL) AS BIGINT) FROM extractions
 UNION ALL SELECT 'occurrences', CAST(count(term) AS BIGINT) FROM extractions
 UNION ALL SELECT 'unique_terms', CAST(count(DISTINCT term) AS BIGINT) FROM extractions
 UNION ALL SELECT 'unique_terms_min2', CAST(count(*) AS BIGINT) FROM (SELECT term FROM extractions
-  WHERE term IS NOT NULL GROUP BY term HAVING count(*) >= 2)"""))
+  WHERE term IS NOT NULL GROUP BY term HAVING count(*) >= 2))
+UNION ALL SELECT 'empty_pct', round(100.0 * count(DISTINCT posting_id) FILTER (WHERE term IS NULL) / count(DISTINCT posting_id), 6)
+FROM extractions"""))
 def vocab_stats(spark, sf, min_count: int = 2):
     """A10: posting-level and vocabulary-level statistics as (metric, value) rows
     (two aggregates unioned; no cross join)."""
@@ -107,9 +110,11 @@ def vocab_stats(spark, sf, min_count: int = 2):
                         F.sum("k").alias("occurrences"))
     v = e.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     vs = v.agg(F.count(F.lit(1)).alias("unique_terms"), F.count_if(F.col("n") >= min_count).alias("unique_terms_min2"))
-    a = p.unpivot([], ["postings", "empty_postings", "occurrences"], "metric", "value")
-    b = vs.unpivot([], ["unique_terms", "unique_terms_min2"], "metric", "value")
-    return a.unionByName(b).select("metric", F.col("value").cast("long").alias("value"))
+    p = p.select(*[F.col(c).cast("double").alias(c) for c in ("postings", "empty_postings", "occurrences")]).withColumn(
+        "empty_pct", r6(100.0 * F.col("empty_postings") / F.col("postings")))
+    a = p.unpivot([], p.columns, "metric", "value")
+    vs = vs.select(*[F.col(c).cast("double").alias(c) for c in vs.columns])
+    return a.unionByName(vs.unpivot([], vs.columns, "metric", "value"))
 
 
 @register("top_terms", with_views("extractions", body="""

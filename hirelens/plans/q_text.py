@@ -2,13 +2,14 @@
 source audits (D1-D7) and date / location helpers (T8-T10)."""
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hirelens.functions import dates
 from hirelens.functions.text import html_to_text
 from hirelens.functions.text import first_location as first_loc
 from hirelens.operators import extract as X
-from hirelens.plans.base import clean_postings, r6, skills_long
+from hirelens.plans.base import clean_postings, r6, skills_long, tagged_postings, unified_postings
 from hirelens.plans.registry import register, with_views
 from hirelens.sources import fixtures as fx
 
@@ -205,6 +206,54 @@ def audit_dup_text(spark, sf):
     return g.withColumn("dup_share", r6(1 - F.col("n_distinct") / F.col("n")))
 
 
+@register("audit_dates", with_views("postings_raw", body="""
+SELECT source, count(*) AS n, min(date) AS min_date, max(date) AS max_date, count(*) FILTER (WHERE date IS NULL) AS undated
+FROM postings_raw GROUP BY source"""))
+def audit_dates(spark, sf):
+    """First and last date per source, and rows without one."""
+    p = fx.postings_raw(spark, sf, with_text=False)
+    return p.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("date").alias("min_date"),
+                                   F.max("date").alias("max_date"), F.count_if(F.col("date").isNull()).alias("undated"))
+
+
+@register("audit_length_hist", """
+SELECT source, CAST(length(text) // 500 * 500 AS INTEGER) AS from_len, count(*) AS n FROM documents GROUP BY ALL""")
+def audit_length_hist(spark, sf, width: int = 500):
+    """D3: histogram of text lengths per source; a cap shows as a full bucket with little beyond it."""
+    d = fx.table(spark, sf, "documents").select("source", F.char_length("text").alias("len"))
+    low = (F.floor(F.col("len") / width) * width).cast("int")
+    return d.groupBy("source", low.alias("from_len")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("audit_length_cap", """
+SELECT source, len AS cap_len, k AS n_at_cap, round(k / n, 6) AS share_at_cap FROM (
+  SELECT source, length(text) AS len, count(*) AS k, sum(count(*)) OVER (PARTITION BY source) AS n,
+         row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, length(text) DESC) AS r
+  FROM documents GROUP BY source, length(text)) WHERE r = 1""")
+def audit_length_cap(spark, sf):
+    """D3: the most frequent length per source (the longest of equals), found also if longer outliers exist."""
+    d = fx.table(spark, sf, "documents").select("source", F.char_length("text").alias("len"))
+    k = d.groupBy("source", "len").agg(F.count(F.lit(1)).alias("k"))
+    g = k.groupBy("source").agg(F.max(F.struct("k", "len")).alias("m"), F.sum("k").alias("n"))
+    return g.select("source", F.col("m.len").alias("cap_len"), F.col("m.k").alias("n_at_cap"),
+                    r6(F.col("m.k") / F.col("n")).alias("share_at_cap"))
+
+
+@register("audit_dup_months", with_views("unified", body="""
+SELECT source, sum(n) AS n_dup, round(sum(n) FILTER (WHERE r <= 3) / sum(n), 6) AS top3_share FROM (
+  SELECT source, month, n, row_number() OVER (PARTITION BY source ORDER BY n DESC, month) AS r FROM (
+    SELECT source, date_trunc('month', date) AS month, count(*) AS n FROM unified WHERE is_duplicate GROUP BY ALL))
+GROUP BY source"""))
+def audit_dup_months(spark, sf, top: int = 3):
+    """Share of a source's duplicates that fall in its ``top`` months."""
+    u = unified_postings(spark, sf).filter("is_duplicate").groupBy("source", F.trunc("date", "month").alias("month"))
+    m = u.agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("source").orderBy(F.desc("n"), "month")
+    m = m.withColumn("r", F.row_number().over(w))
+    g = m.groupBy("source").agg(F.sum("n").alias("n_dup"), F.sum(F.when(F.col("r") <= top, F.col("n"))).alias("t"))
+    return g.select("source", "n_dup", r6(F.col("t") / F.col("n_dup")).alias("top3_share"))
+
+
 _ID_TABLES = [("events", "event_id"), ("documents", "doc_id"), ("orders", "o_orderkey")]
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from hirelens.functions.dates import quarter_label, to_date_safe
 
+# The columns of the unified table, in order.
 FINAL_COLS = [
     "posting_id", "source", "date", "year", "quarter",
     "canonical_title", "raw_title", "company", "geo", "seniority",

@@ -7,6 +7,9 @@ from tools.oracle_check import TABLES, digest
 SF = "/root/testdata/sf0.001"
 
 
+NO_ORACLE = {"fuzzy_pairs", "fuzzy_band", "fuzzy_clusters", "resolve_collisions"}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -27,7 +30,9 @@ def test_query_matches_oracle(spark, con, key):
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(key)
     if sql is None:
-        assert isinstance(rows, list)
+        # beyond SQL (edit-distance graphs, tokenizers, models): held against brute force in their own tests
+        assert key in NO_ORACLE or key.startswith(("op", "pipeline")), f"{key} has no oracle"
+        assert rows
         return
     res = con.execute(sql)
     cols = [d[0] for d in res.description]
