@@ -283,7 +283,6 @@ JOIN (SELECT p.year, count(DISTINCT e.posting_id) AS n_year
       FROM extractions e JOIN tagged p ON p.posting_id = e.posting_id GROUP BY p.year) t ON t.year = y.year"""))
 def audit_token_trend(spark, sf):
     """Share of extracted postings per year mentioning each (case-folded) term."""
-    from hirelens.operators.clean import tagged_postings
     p = tagged_postings(spark, sf).select("posting_id", "year")
     e = fx.extractions(spark, sf).select("posting_id", F.lower("term").alias("term")).join(p, "posting_id")
     y = e.groupBy("year", "term").agg(F.count_distinct("posting_id").alias("n_with"))
