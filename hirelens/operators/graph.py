@@ -31,9 +31,10 @@ def components(edges: DataFrame) -> DataFrame:
                  .union(m.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         new = written(small, "cc")
         # a forest of stars: no node is both a child and a parent, and none has two parents
-        s = new.agg(F.count("*").alias("n"), F.countDistinct("a").alias("d")).first()
-        inner = new.select(F.col("b").alias("a")).join(new.select("a"), "a", "left_semi").limit(1).count()
-        if s["n"] == s["d"] and inner == 0:
+        role = new.select(F.col("a").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).union(
+            new.select("b", F.lit(0), F.lit(1)))
+        role = role.groupBy("node").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+        if not role.where("child > 1 OR child = 1 AND parent = 1").agg(F.count(F.lit(1))).first()[0]:
             break
         e = new
     return new.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
