@@ -11,7 +11,8 @@ def _plan(df):
 
 def _keys():
     import __spark_entry__ as E
-    return sorted(k for k in E.queries() if k not in SKIP_BUILD)
+    # so do the training-data operators, which have tests of their own
+    return sorted(k for k in E.queries() if k not in SKIP_BUILD and not k.startswith(("op", "pipeline")))
 
 
 @pytest.mark.parametrize("key", _keys())
