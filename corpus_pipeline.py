@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm import langid, minhash, mixing, packing, pii
-from hirelens.llm.common import written
+from hirelens.llm.common import unused, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = langid.train(docs)
-    found = langid.predict(docs, model, "_lang", "_score")
-    return found.where(found["_lang"] != langid.UNKNOWN).select(*docs.columns)
+    lang, score = unused("lang_pred", docs.columns), unused("score", docs.columns)
+    found = langid.predict(docs, langid.train(docs), lang, score)
+    return found.where(found[lang] != langid.UNKNOWN).select(*docs.columns)
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.session import ensure_checkpoint_dir
+from hirelens.operators.graph import components  # noqa: F401
+from hirelens.session import ensure_checkpoint_dir, written  # noqa: F401
 
 # Fixed value: what separates words (ASCII white space); words are runs of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,18 +18,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores added until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under ``spark.checkpoint.dir`` (shared by all executors)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` to the shared folder as Parquet and read it back."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI or absolute path, usable on any executor."""
     return pafs.FileSystem.from_uri(uri)
@@ -37,40 +39,3 @@ def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
 def n_words(text) -> F.Column:
     """Number of words of a text column; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-
-
-def components(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """Connected components of ``edges`` (a, b): rows (node, component), the smallest
-    node id reachable. Isolated nodes do not appear.
-
-    Alternates large-star and small-star steps, written as joins and ``min``
-    aggregates (a hub's neighbours are pre-aggregated before the shuffle, never
-    gathered in one place), until a round changes nothing. Each round is written
-    to the shared folder. ``max_rounds`` stops with an error, never with a partial result.
-    """
-    e = (edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-         .where("a <> b").distinct())
-    e = written(e, "cc")
-    rounds = 0
-    while True:
-        # large star: every larger neighbour moves to the smallest node around u
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
-        m = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.where("v > u").join(m, "u")
-                 .select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
-        # small star: smaller neighbours of a, and a itself, move to the smallest of them
-        m = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(m, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .union(m.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        new = written(small, "cc")
-        # a forest of stars: no node is both a child and a parent, and none has two parents
-        s = new.agg(F.count("*").alias("n"), F.countDistinct("a").alias("d")).first()
-        inner = new.select(F.col("b").alias("a")).join(new.select("a"), "a", "left_semi").limit(1).count()
-        if s["n"] == s["d"] and inner == 0:
-            break
-        e = new
-        rounds += 1
-        if max_rounds is not None and rounds >= max_rounds:
-            raise RuntimeError(f"components: not settled after {rounds} rounds")
-    return new.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        new.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

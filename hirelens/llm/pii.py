@@ -159,7 +159,8 @@ def span_text(spans):
 def redact(docs: DataFrame, kinds=KINDS) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets; spans that
     overlap become one, named after the first. Columns stay as they are."""
-    found = find_pii(docs, kinds, "_spans")
+    # the row travels in one column, so that no name of the input can clash
+    found = find_pii(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), "text"), kinds, "_spans")
     by_start = F.array_sort(F.transform("_spans", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
@@ -181,7 +182,8 @@ def redact(docs: DataFrame, kinds=KINDS) -> DataFrame:
 
     tail = F.substring(text, F.element_at(cut, -1)["end"] + 1, F.length(text))
     clean = F.when(F.size(cut) == 0, text).otherwise(F.concat(F.concat_ws("", F.transform(cut, piece)), tail))
-    return found.withColumn("text", clean).select(*docs.columns)
+    return found.withColumn("_clean", clean).select(
+        *[F.col("_clean").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -19,7 +19,8 @@ def make_docs(spark, docs_schema):
         full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", len(r[1] or "")) for r in rows]
         df = spark.createDataFrame(full, docs_schema)
         if extra:
-            for c in ("id", "n", "v", "key", "hash", "size", "spans", "_spans", "places", "component", "rank"):
+            for c in ("id", "n", "v", "key", "hash", "size", "spans", "_spans", "places", "component", "rank", "_d", "_row", "_cut", "_n", "_s",
+                      "lang_pred", "score", "doc", "h", "key2", "below", "times", "slot", "body", "set"):
                 df = df.withColumn(c, F.lit("x"))
         return df
     return make

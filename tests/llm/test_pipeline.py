@@ -57,6 +57,14 @@ def test_run_over_a_table(spark):
     assert df.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(df.columns)
 
 
+def test_stages_keep_columns_with_clashing_names(spark, make_docs):
+    docs = make_docs(planted(), extra=True)
+    for _, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, SF001)
+        assert out.columns == docs.columns and out.where("_d <> 'x' OR lang_pred <> 'x'").count() == 0 < out.count()
+    assert C.STAGES[-1][1](spark, docs, SF001).count() > 0
+
+
 def test_stages_take_an_empty_table(spark, make_docs):
     for _, stage in C.STAGES:
         assert stage(spark, make_docs([]), SF001).count() == 0
