@@ -9,7 +9,7 @@ distinct word is parsed once per worker and a text is a sum over its words. Word
 than ``MAX_WORD`` letters are parsed in parts of that length.
 
 Training uses a bounded sample: at most ``rows`` labelled rows per language (fewer when
-there are over 50 languages), the ones with the smallest hash of their text, at most
+there are over 50 languages), the distinct texts with the smallest hashes, at most
 2,000 characters of each, and at most ``chars`` characters of distinct words per language.
 
 Nulls, ties, edges: a null text, or one without a letter, is ``und`` with score 0, and so is
@@ -164,16 +164,15 @@ def train(labelled: DataFrame, rows: int = 200, chars: int = 30_000) -> Model:
     """A model from ``text`` and ``lang`` of ``labelled`` (see above for the bounds)."""
     own = labelled.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
     own = own.withColumn("h", F.xxhash64("text"))
-    count = own.groupBy("lang").agg(F.count("*").alias("n"))
-    n_langs = max(1, count.count())
-    rows = max(10, min(rows, 50 * rows // n_langs))
-    # hashes below a fraction of the range leave some 4 x rows of a language; all if it has few
-    least, span = -(2.0**63), 2.0**64
-    near = own.join(count, "lang").where(
-        (F.col("n") <= 100 * rows) | ((F.col("h") - F.lit(least)) / F.lit(span) < 4.0 * rows / F.col("n")))
+    # one number a language, like the automata that the model holds for each
+    count = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    rows = max(10, min(rows, 50 * rows // max(1, len(count))))
+    # hashes below a fraction of the range leave some 4 x rows texts of a language; all if it has few
+    part = F.create_map(*[F.lit(x) for lang, n in count.items() for x in (lang, 4.0 * rows / max(1, n))])
+    near = own.where((F.col("h") + F.lit(2.0**63)) / F.lit(2.0**64) < part[F.col("lang")]) if count else own.limit(0)
+    near = near.groupBy("lang", "h").agg(F.min(F.substring("text", 1, 2000)).alias("text"))
     order = Window.partitionBy("lang").orderBy("h", "text")
-    picked = (near.select("lang", "h", F.substring("text", 1, 2000).alias("text"))
-              .withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows).select("lang", "text", "r"))
+    picked = (near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows).select("lang", "text", "r"))
     words: dict[str, dict[str, None]] = {}
     for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["r"])):
         words.setdefault(r["lang"], {}).update(dict.fromkeys(words_of(r["text"])))
