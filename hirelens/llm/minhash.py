@@ -2,19 +2,23 @@
 
 A document's set is its distinct shingles of ``width`` words (A-Z lower-cased; a shorter
 text is one shingle). One hash function orders all shingles; the ``k`` smallest are the
-sketch. Two sets with Jaccard >= t share at least ``least_shared`` sketch values (exactly
-when the set fits the sketch, else with a chance of failure below 1e-10). Ordered by how
-many sketches hold them, rarest first, two such sketches therefore meet in their first
-size - least + 1 values: only those make inverted lists, and a document that shares fewer
-values than needed with all others makes none.
-
-Lists never become all pairs. First each member meets its list's smallest member. Links
-found there merge documents into components, and a list whose members are one component is
-done. In the others only members of unlike components are compared: short lists by a
-self-join, long ones in pairs of blocks of bounded size inside tasks that return only pairs
-with enough shared values. Every candidate passes the union-sketch estimate and is then
-decided on the full sets of strings, read from the texts of candidates alone; a bitmap of fixed
-size over hashes of their ids keeps other texts from being shuffled.
+sketch. An inverted list is kept for every ``g`` neighbouring values of a sketch: in the
+union of two sets with Jaccard >= t each value is shared with probability t, so k of them
+without g shared ones in a row have a chance below 1e-9 (``key_width`` takes the largest
+such g up to 3). Sets that fit the sketch are met for certain: of their union at most a fifth
+isn't shared, and sets of up to six values have lists of two neighbours as well. Single
+frequent shingles, lines or passages thus make no long list; near copies do.
+
+Lists never become all pairs. First each member meets its list's smallest and largest
+member; these candidates pass the union-sketch estimate and are decided on the full sets of
+strings, read from the texts of candidates alone (a bitmap of fixed size over hashes of their
+ids keeps other texts from being shuffled). Links found there merge documents into components,
+and a list whose members are one component is done. In the others members of unlike components
+are compared by their sketches, in pairs of blocks of bounded size; what leaves a task is not
+the similar pairs but which members they connect. So the documents that may still be linked
+form groups; a document is in one of them. Their full sets (64-bit hashes) go once to each pair
+of blocks of the group, where similar pairs of unlike components are decided one by one; a link
+merges its components, so a task returns fewer links than it has documents.
 
 Documents with equal sets are one class and are compared once. Nulls, ties, edges: a null text
 or one without words has an empty set and links with nothing; a null doc_id keeps its row and
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 from hirelens.llm.common import components, written
 
 BITMAP = 1 << 25                                       # slots of the candidate bitmap: 4 MB
-LONG_LIST, BLOCK = 32, 1024
+LONG_LIST, BLOCK = 8, 1024
 
 
 def least_shared(k: int, t: float, risk: float = 1e-10) -> int:
@@ -114,19 +118,36 @@ def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
         run, "doc_id long, n long, key binary, sketch array<long>")
 
 
-def rare_postings(cls: DataFrame, k: int, t: float) -> DataFrame:
-    """(v, id, n, lead): the rarest sketch values of each class, with the list's smallest class."""
-    post = cls.select("id", F.explode("sketch").alias("v"))
-    lists = post.groupBy("v").agg(F.count("*").alias("df"), F.min("id").alias("lead")).where("df > 1")
-    held = (post.join(lists, "v").groupBy("id")
-            .agg(F.sort_array(F.collect_list(F.struct("df", "v", "lead"))).alias("l")))
-    size = F.least(F.col("n"), F.lit(k))
-    least = F.when(F.col("n") <= k, F.ceil(F.col("n") * ((2 * t - 1) / t) - 1e-9)).otherwise(least_shared(k, t))
-    # values that no other class holds are the rarest of all, so they fill the prefix first
-    take = size - least + 1 - (size - F.size("l"))
-    return (held.join(cls.select("id", "n"), "id").where(take > 0)
-            .select("id", "n", F.explode(F.slice("l", F.lit(1), take.cast("int"))).alias("x"))
-            .select("x.v", "id", "n", "x.lead"))
+def key_width(k: int, t: float, risk: float = 1e-9) -> int:
+    """The largest g <= 3 such that k independent values, each shared with probability t, miss g
+    shared ones in a row with a chance below ``risk``; 1 if none is."""
+    best = 1
+    for g in (2, 3):
+        run = [1.0] + [0.0] * (g - 1)                   # chance of a current run of 0 .. g - 1 shared values
+        for _ in range(k):
+            run = [(1 - t) * sum(run)] + [t * x for x in run[:-1]]
+        if sum(run) < risk:
+            best = g
+    return best
+
+
+def postings(cls: DataFrame, k: int, t: float) -> DataFrame:
+    """(v, id, n, low, high): keys of neighbouring sketch values that several classes have, with
+    the list's smallest and largest class."""
+    s, g = F.col("sketch"), key_width(k, t)
+
+    def rows(width):
+        return F.transform(F.sequence(F.lit(1), F.size(s) - (width - 1)), lambda i: F.xxhash64(
+            F.lit(width), *[F.element_at(s, i + j) for j in range(width)]))
+
+    none = F.array().cast("array<bigint>")
+    keys = F.when(F.size(s) >= g, rows(g)).otherwise(none)
+    if g > 2:
+        keys = F.concat(keys, F.when((F.size(s) >= 2) & (F.col("n") <= 2 * g), rows(2)).otherwise(none))
+    post = cls.select("id", "n", F.explode(keys).alias("v"))
+    lists = (post.groupBy("v").agg(F.count("*").alias("df"), F.min("id").alias("low"), F.max("id").alias("high"))
+             .where("df > 1").drop("df"))
+    return post.join(lists, "v")
 
 
 def estimated(pairs: DataFrame, cls: DataFrame, k: int, t: float) -> DataFrame:
@@ -161,37 +182,52 @@ def _slot_position():
     return ((F.bitmap_bucket_number(s) - 1) * 32768 + F.bitmap_bit_position(s)).cast("long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union on the full sets of shingles."""
-    spark = pairs.sparkSession
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    bits = spark.sparkContext.broadcast(_bitmap(ids))
+def _of_candidates(docs: DataFrame, ids: DataFrame, make, column: str) -> DataFrame:
+    """(doc_id, <column>) of the documents named in ``ids`` (column id): ``make`` maps a list of
+    texts to a list of cells. Texts whose slot in the bitmap is empty never leave their task."""
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
+    name, kind = column.split(" ")
+    arrow = pa.binary() if kind == "binary" else pa.list_(pa.int64())
 
-    def bodies(batches):
+    def run(batches):
         for b in batches:
             at = b.column(2).to_numpy()
             rows = np.flatnonzero((bits.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
             for lo in range(0, len(rows), 1000):
                 part = b.take(pa.array(rows[lo:lo + 1000]))
-                body = [zlib.compress(b" ".join(words_of(t)), 1) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(body, pa.binary())], ["doc_id", "body"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(make(part.column(1).to_pylist()), arrow)], ["doc_id", name])
 
-    body = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .where("doc_id IS NOT NULL AND text IS NOT NULL")
             .select("doc_id", "text", _slot_position().alias("slot"))
-            .mapInArrow(bodies, "doc_id long, body binary")
+            .mapInArrow(run, f"doc_id long, {name} {kind}")
             .join(ids, F.col("doc_id") == F.col("id"), "left_semi"))
 
+
+def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links that connect what ``pairs`` (a, b) with 100 * intersection >= percent * union on the full
+    sets of shingles connect: a task leaves out pairs whose ends its own links connect already."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    body = _of_candidates(docs, ids, lambda texts: [zlib.compress(b" ".join(words_of(t)), 1) for t in texts], "body binary")
+
     def compare(batches):
         last, last_set = None, None
+        place: dict[int, int] = {}                      # rows of the task's disjoint sets
+        merged = _Sets([])
         for b in batches:
             keep = []
             for x, y, tx, ty in zip(*(c.to_pylist() for c in b.columns)):
+                i, j = (place.setdefault(d, len(place)) for d in (x, y))
+                merged.up += range(len(merged.up), len(place))
+                if merged.root(i) == merged.root(j):
+                    continue
                 if y != last:
                     last, last_set = y, shingle_set(zlib.decompress(ty).split(), width)
                 own = shingle_set(zlib.decompress(tx).split(), width)
                 both = len(own & last_set)
                 if 100 * both >= percent * (len(own) + len(last_set) - both):
+                    merged.join(i, j)
                     keep.append((x, y))
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in keep], pa.int64()),
                                               pa.array([p[1] for p in keep], pa.int64())], ["a", "b"])
@@ -201,8 +237,68 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return two.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long").distinct()
 
 
-def rest_pairs(post: DataFrame, comp: DataFrame, cls: DataFrame, k: int, t: float) -> DataFrame:
-    """Pairs of unlike components that share a list: (a, b), a < b."""
+def _shared(sets: list, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many values each set of ``left`` shares with each of ``right`` (rows of ``sets``)."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, v, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.cumsum(times > 1) - 1                     # values that at least two sets hold
+    owner, v = owner[times[v] > 1], rank[v[times[v] > 1]]
+    count = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(v.max(initial=-1)) + 1, 2048):
+        now = (v >= first) & (v < first + 2048)
+        m = np.zeros((len(sets), 2048), np.float32)
+        m[owner[now], v[now] - first] = 1
+        count += m[left] @ m[right].T
+    return count
+
+
+def _similar(pdf, sketch: list, k: int, t: float):
+    """Row pairs of a task's two blocks, of unlike components, that may reach Jaccard >= t."""
+    lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
+    left, right = np.flatnonzero(pdf["block"] == lo), np.flatnonzero(pdf["block"] == hi)
+    if not len(left) or not len(right):
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    n, c = pdf["n"].to_numpy(), pdf["component"].to_numpy()
+    count = _shared(sketch, left, right)
+    least = np.where(n <= k, np.ceil((2 * t - 1) / t * n - 1e-9), least_shared(k, t))
+    na, nb = n[left][:, None], n[right][None, :]
+    ok = ((count >= np.maximum(least[left][:, None], least[right][None, :]))
+          & (c[left][:, None] != c[right][None, :])
+          & (np.minimum(na, nb) >= t * np.maximum(na, nb) - 1e-6))
+    if lo == hi:
+        ok &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
+    i, j = np.nonzero(ok)
+    return left[i], right[j], count[i, j]
+
+
+class _Sets:
+    """Disjoint sets of rows."""
+
+    def __init__(self, labels):
+        first: dict = {}
+        self.up = [first.setdefault(x, i) for i, x in enumerate(labels)]
+
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = i = self.up[self.up[i]]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        i, j = self.root(i), self.root(j)
+        self.up[max(i, j)] = min(i, j)
+        return i != j
+
+
+def _in_blocks(rows: DataFrame, size: str) -> DataFrame:
+    """Rows of a key once per pair (lo, hi) of its blocks that their block is in."""
+    rows = rows.withColumn("blocks", F.ceil(F.col(size) / BLOCK).cast("int"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    return (rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("lo", F.least("block", "_o")).withColumn("hi", F.greatest("block", "_o")))
+
+
+def open_edges(post: DataFrame, comp: DataFrame, cls: DataFrame, k: int, t: float) -> DataFrame:
+    """(a, b): which classes of unlike components are connected by similar pairs in some list."""
     rows = (post.select("v", "id", "n").join(comp.withColumnRenamed("node", "id"), "id", "left")
             .withColumn("component", F.coalesce("component", "id")))
     lists = (rows.groupBy("v").agg(F.count("*").alias("df"), F.min("component").alias("c0"), F.max("component").alias("c1"))
@@ -212,62 +308,73 @@ def rest_pairs(post: DataFrame, comp: DataFrame, cls: DataFrame, k: int, t: floa
     other = short.select("v", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("component").alias("c2"))
     near = F.least("n", "n2") >= t * F.greatest("n", "n2") - 1e-6
     found = (short.join(other, "v").where(F.col("id") < F.col("id2")).where(F.col("component") != F.col("c2"))
-             .where(near).select(F.col("id").alias("a"), F.col("id2").alias("b")))
-
-    long = rows.where(F.col("df") > LONG_LIST).join(cls.select("id", "sketch"), "id")
-    long = long.withColumn("blocks", F.ceil(F.col("df") / BLOCK).cast("int"))
-    long = long.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    long = (long.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("lo", F.least("block", "_o")).withColumn("hi", F.greatest("block", "_o")))
-    c_full, share = least_shared(k, t), (2 * t - 1) / t
-
-    def compare(pdf):
-        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        left = np.flatnonzero(pdf["block"] == lo)
-        right = np.flatnonzero(pdf["block"] == hi)
-        ids, n, c = (pdf[x].to_numpy() for x in ("id", "n", "component"))
-        sizes = [len(s) for s in pdf["sketch"]]
-        owner = np.repeat(np.arange(len(pdf)), sizes)
-        _, v, times = np.unique(np.concatenate(list(pdf["sketch"])), return_inverse=True, return_counts=True)
-        rank = np.cumsum(times > 1) - 1                # values that at least two members hold
-        owner, v = owner[times[v] > 1], rank[v[times[v] > 1]]
-        count = np.zeros((len(left), len(right)), np.float32)
-        for first in range(0, int(v.max(initial=-1)) + 1, 2048):
-            now = (v >= first) & (v < first + 2048)
-            m = np.zeros((len(pdf), 2048), np.float32)
-            m[owner[now], v[now] - first] = 1
-            count += m[left] @ m[right].T
-        least = np.where(n <= k, np.ceil(share * n - 1e-9), c_full)
-        na, nb = n[left][:, None], n[right][None, :]
-        ok = ((count >= np.maximum(least[left][:, None], least[right][None, :]))
-              & (c[left][:, None] != c[right][None, :])
-              & (np.minimum(na, nb) >= t * np.maximum(na, nb) - 1e-6))
-        i, j = np.nonzero(ok)
-        a, b = ids[left[i]], ids[right[j]]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
+             .where(near).select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
+
+    def connect(pdf):
+        pdf = pdf.sort_values("id", ignore_index=True)  # a set's root is its smallest id, in every list
+        a, b, _ = _similar(pdf, list(pdf["sketch"]), k, t)
+        sets, ids = _Sets(range(len(pdf))), pdf["id"].to_numpy()
+        for x in zip(a.tolist(), b.tolist()):
+            sets.join(*x)
+        root = np.array([sets.root(i) for i in range(len(ids))])
+        own = root != np.arange(len(ids))
+        return pd.DataFrame({"a": ids[root[own]], "b": ids[own]})
+
+    long = _in_blocks(rows.where(F.col("df") > LONG_LIST).join(cls.select("id", "sketch"), "id"), "df")
     far = (long.select("v", "lo", "hi", "block", "id", "n", "component", "sketch")
-           .groupBy("v", "lo", "hi").applyInPandas(compare, "a long, b long"))
-    return found.union(far).distinct()
+           .groupBy("v", "lo", "hi").applyInPandas(connect, "a long, b long"))
+    return estimated(found, cls, k, t).union(far).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 48) -> DataFrame:
+def resolved(edges: DataFrame, comp: DataFrame, docs: DataFrame, width: int, percent: int, k: int) -> DataFrame:
+    """Links (a, b) that merge components, among the documents that ``edges`` connect: every similar
+    pair of unlike components is decided on the full sets of hashes."""
+    t = percent / 100
+    group = components(edges).withColumnRenamed("node", "id").withColumnRenamed("component", "grp")
+
+    def make(texts):
+        hashes = _Hashes()
+        return [hashed_set(w, width, hashes) if (w := words_of(x)) else None for x in texts]
+
+    sets = _of_candidates(docs, group.select("id"), make, "set array<bigint>")
+    size = group.groupBy("grp").agg(F.count("*").alias("size"))
+    rows = (sets.select(F.col("doc_id").alias("id"), "set").join(group.join(size, "grp"), "id")
+            .join(comp.withColumnRenamed("node", "id"), "id", "left")
+            .withColumn("component", F.coalesce("component", "id")).withColumn("n", F.size("set")))
+
+    def decide(pdf):
+        own, ids = list(pdf["set"]), pdf["id"].to_numpy()
+        a, b, count = _similar(pdf, [x[:k] for x in own], k, t)
+        merged, out = _Sets(pdf["component"].tolist()), []
+        for at in np.argsort(-count, kind="stable").tolist():
+            i, j = int(a[at]), int(b[at])
+            if merged.root(i) == merged.root(j):
+                continue
+            x, y = (own[i], own[j]) if len(own[i]) <= len(own[j]) else (own[j], own[i])
+            both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                merged.join(i, j)
+                out.append((ids[i], ids[j]))
+        return pd.DataFrame({"a": [x for x, _ in out], "b": [y for _, y in out]}, dtype="int64")
+
+    blocks = _in_blocks(rows, "size").select("grp", "lo", "hi", "block", "id", "n", "component", "set")
+    return blocks.groupBy("grp", "lo", "hi").applyInPandas(decide, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
     t = percent / 100
     rows = written(sketches(docs, width, k), "mh-rows")
     cls = written(rows.where("doc_id IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
         .select("key", "id", "n", "sketch"), "mh-classes")
-    post = written(rare_postings(cls, k, t), "mh-postings")
-    # each list's members against its smallest member
-    star = (post.where("id <> lead").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
-            .distinct())
-    tested = written(estimated(star, cls, k, t), "mh-stars")
-    links = written(verified(tested, docs, width, percent), "mh-links")
-    rest = rest_pairs(post, components(links), cls, k, t)
-    rest = rest.join(tested, ["a", "b"], "left_anti")
-    rest = written(estimated(rest, cls, k, t), "mh-rest")
-    links = links.union(verified(rest, docs, width, percent))
+    post = written(postings(cls, k, t), "mh-postings")
+    # each list's members against its smallest and its largest member
+    star = (post.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
+            .union(post.where("id <> high").select("id", "high")).distinct())
+    links = written(verified(estimated(star, cls, k, t), docs, width, percent), "mh-links")
+    comp = written(components(links), "mh-components")
+    links = links.union(resolved(open_edges(post, comp, cls, k, t), comp, docs, width, percent, k))
     comp = components(links).select(F.col("node").alias("id"), "component")
     per = (cls.select("key", "id").join(comp, "id", "left")
            .select(F.col("key").alias("_k"), F.coalesce("component", "id").alias("component_id")))
@@ -279,11 +386,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
                       F.coalesce(F.col("doc_id") == cid, F.lit(True)).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 48) -> DataFrame:
+def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64) -> DataFrame:
     """One row of ``docs`` for each component: the document with its smallest doc_id (of rows that
     repeat that id, one). Rows without a doc_id stay."""
     kept = near_duplicates(docs, width, percent, k).where("NOT kept").select(F.col("doc_id").alias("_d")).distinct()
-    rest = docs.join(kept, F.col("doc_id").cast("long") == F.col("_d"), "left_anti")
+    rest = docs.join(kept, docs["doc_id"].cast("long") == kept["_d"], "left_anti")
     if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
         rest = rest.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(rest.where("doc_id IS NULL"))
     return rest

@@ -82,8 +82,21 @@ def test_empty(make_docs):
     assert M.deduplicated(make_docs([])).collect() == []
 
 
-def test_least_shared_is_rarely_missed():
-    c = M.least_shared(48, 0.8)
+def test_chances():
+    c = M.least_shared(64, 0.8)
     rnd = random.Random(3)
-    low = min(sum(rnd.random() < 0.8 for _ in range(48)) for _ in range(20_000))
-    assert 14 <= c < low
+    trials = [[rnd.random() < 0.8 for _ in range(64)] for _ in range(20_000)]
+    assert 20 <= c < min(map(sum, trials))
+    assert M.key_width(64, 0.8) == 3 and M.key_width(32, 0.8) == 2 and M.key_width(8, 0.5) == 1
+    assert all(any(x[i] and x[i + 1] and x[i + 2] for i in range(62)) for x in trials)
+
+
+def test_small_sets_are_met_for_certain(make_docs):
+    rows, n = [], 0
+    for size in range(3, 12):                                               # one shingle more or less, anywhere
+        words = [f"a{size}x{i}" for i in range(size)]
+        for t in [words] + [words[:i] + words[i + 1:] for i in (0, size - 1)] + [words + ["more"], ["more"] + words]:
+            rows.append((n, " ".join(t)))
+            n += 1
+    got = M.near_duplicates(make_docs(rows), width=2)
+    assert {tuple(r) for r in got.collect()} == brute(rows, 2, 80)
