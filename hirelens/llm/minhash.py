@@ -15,10 +15,10 @@ strings, read from the texts of candidates alone (a bitmap of fixed size over ha
 ids keeps other texts from being shuffled). Links found there merge documents into components,
 and a list whose members are one component is done. In the others members of unlike components
 are compared by their sketches, in pairs of blocks of bounded size; what leaves a task is not
-the similar pairs but which members they connect. So the documents that may still be linked
-form groups; a document is in one of them. Their full sets (64-bit hashes) go once to each pair
-of blocks of the group, where similar pairs of unlike components are decided one by one; a link
-merges its components, so a task returns fewer links than it has documents.
+the similar pairs but which components they connect. So the components that may still merge
+form groups; a document is in one at most. Its full set (64-bit hashes) goes once to each pair of
+blocks of the group that its own block is in, where similar pairs of unlike components are
+decided one by one; a link merges its components, so a task returns fewer links than documents.
 
 Documents with equal sets are one class and are compared once. Nulls, ties, edges: a null text
 or one without words has an empty set and links with nothing; a null doc_id keeps its row and
@@ -298,7 +298,7 @@ def _in_blocks(rows: DataFrame, size: str) -> DataFrame:
 
 
 def open_edges(post: DataFrame, comp: DataFrame, cls: DataFrame, k: int, t: float) -> DataFrame:
-    """(a, b): which classes of unlike components are connected by similar pairs in some list."""
+    """(a, b): which components (by their labels) are connected by similar pairs in some list."""
     rows = (post.select("v", "id", "n").join(comp.withColumnRenamed("node", "id"), "id", "left")
             .withColumn("component", F.coalesce("component", "id")))
     lists = (rows.groupBy("v").agg(F.count("*").alias("df"), F.min("component").alias("c0"), F.max("component").alias("c1"))
@@ -311,26 +311,35 @@ def open_edges(post: DataFrame, comp: DataFrame, cls: DataFrame, k: int, t: floa
              .where(near).select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct())
 
     def connect(pdf):
-        pdf = pdf.sort_values("id", ignore_index=True)  # a set's root is its smallest id, in every list
         a, b, _ = _similar(pdf, list(pdf["sketch"]), k, t)
-        sets, ids = _Sets(range(len(pdf))), pdf["id"].to_numpy()
-        for x in zip(a.tolist(), b.tolist()):
-            sets.join(*x)
-        root = np.array([sets.root(i) for i in range(len(ids))])
-        own = root != np.arange(len(ids))
-        return pd.DataFrame({"a": ids[root[own]], "b": ids[own]})
+        labels, of = np.unique(pdf["component"].to_numpy(), return_inverse=True)
+        sets = _Sets(range(len(labels)))
+        for x, y in zip(of[a].tolist(), of[b].tolist()):
+            sets.join(x, y)
+        root = np.array([sets.root(i) for i in range(len(labels))])
+        own = root != np.arange(len(labels))
+        return pd.DataFrame({"a": labels[root[own]], "b": labels[own]})
 
     long = _in_blocks(rows.where(F.col("df") > LONG_LIST).join(cls.select("id", "sketch"), "id"), "df")
     far = (long.select("v", "lo", "hi", "block", "id", "n", "component", "sketch")
            .groupBy("v", "lo", "hi").applyInPandas(connect, "a long, b long"))
-    return estimated(found, cls, k, t).union(far).distinct()
+    of = comp.select(F.col("node"), "component")
+    near = estimated(found, cls, k, t)
+    for c in ("a", "b"):
+        near = (near.join(of, near[c] == of["node"], "left").withColumn(c, F.coalesce("component", c))
+                .drop("node", "component"))
+    return near.select("a", "b").union(far).distinct()
 
 
 def resolved(edges: DataFrame, comp: DataFrame, docs: DataFrame, width: int, percent: int, k: int) -> DataFrame:
-    """Links (a, b) that merge components, among the documents that ``edges`` connect: every similar
-    pair of unlike components is decided on the full sets of hashes."""
+    """Links (a, b) that merge components, among those that ``edges`` connect: every similar pair of
+    their documents is decided on the full sets of hashes."""
     t = percent / 100
-    group = components(edges).withColumnRenamed("node", "id").withColumnRenamed("component", "grp")
+    group = components(edges).select(F.col("node").alias("label"), F.col("component").alias("grp"))
+    members = group.join(comp, group["label"] == comp["component"]).select(F.col("node").alias("id"), "component", "grp")
+    alone = group.join(comp, group["label"] == comp["node"], "left_anti").select(
+        F.col("label").alias("id"), F.col("label").alias("component"), "grp")
+    group = written(members.union(alone), "mh-groups")
 
     def make(texts):
         hashes = _Hashes()
@@ -339,8 +348,7 @@ def resolved(edges: DataFrame, comp: DataFrame, docs: DataFrame, width: int, per
     sets = _of_candidates(docs, group.select("id"), make, "set array<bigint>")
     size = group.groupBy("grp").agg(F.count("*").alias("size"))
     rows = (sets.select(F.col("doc_id").alias("id"), "set").join(group.join(size, "grp"), "id")
-            .join(comp.withColumnRenamed("node", "id"), "id", "left")
-            .withColumn("component", F.coalesce("component", "id")).withColumn("n", F.size("set")))
+            .withColumn("n", F.size("set")))
 
     def decide(pdf):
         own, ids = list(pdf["set"]), pdf["id"].to_numpy()
