@@ -95,11 +95,10 @@ class _Batch:
             self.hash = np.zeros(0, np.int64)
             return
         at, g = prefixes(flat, window)
-        s = np.arange(len(at))
-        doc = np.searchsorted(self.first, s, side="right") - 1
-        ok = s + window <= self.first[doc + 1]
-        self.start, self.at, self.doc = s[ok], at[ok], doc[ok]
-        self.hash = g[ok].view(np.int64)
+        windows = np.maximum(size - window + 1, 0)
+        self.doc = np.repeat(np.arange(len(size)), windows)
+        self.start = np.arange(len(self.doc)) + np.repeat(self.first[:-1] - np.cumsum(windows) + windows, windows)
+        self.at, self.hash = at[self.start], g[self.start].view(np.int64)
 
 
 def frequent(docs: DataFrame, window: int) -> np.ndarray:
