@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 MAX_WORD = 24
 UNKNOWN = "und"
 _WORDS = re.compile(r"[^\W\d_]{1,%d}" % MAX_WORD)
-_MAX_KNOWN = 400_000                                   # distinct words a worker remembers
+_MAX_KNOWN = 200_000                                   # distinct words a worker remembers
 
 
 def words_of(text: str) -> list[str]:

@@ -98,7 +98,7 @@ def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)
-                if len(hashes) > 400_000:
+                if len(hashes) > 200_000:
                     hashes.clear()
                 ids, n, key, sk = [], [], [], []
                 for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):

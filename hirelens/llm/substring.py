@@ -83,7 +83,7 @@ class _Batch:
     """Windows of a batch of documents, prefixes found over all of them at once."""
 
     def __init__(self, texts, window: int, hashes: dict):
-        if len(hashes) > 400_000:
+        if len(hashes) > 200_000:
             hashes.clear()
         self.words = [words_of(t) for t in texts]
         size = np.array([len(w) for w in self.words])

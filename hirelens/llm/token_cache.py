@@ -57,7 +57,7 @@ class CachedTokenizer:
     never the input.
     """
 
-    def __init__(self, path: str, wide: bool = True, max_entries: int = 600_000, max_chars: int = 40):
+    def __init__(self, path: str, wide: bool = True, max_entries: int = 250_000, max_chars: int = 40):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
