@@ -37,7 +37,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2,
     """Encode each ``text``, append ``end_id`` and cut: one row per piece (without
     ``with_ids`` the ids stay in the task that made them)."""
     def encode(batches):
-        tok = CachedTokenizer(tokenizer)
+        tok = CachedTokenizer(tokenizer, max_entries=100_000)
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             for lo in range(0, b.num_rows, 256):
