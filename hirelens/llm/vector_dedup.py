@@ -6,13 +6,15 @@ shard builds a graph (nearest candidates, robust pruning, both directions); the
 lists of a vector are united over its shards. A search starts at a shard's medoid, walks
 greedily with a beam and, once at its goal, expands every vector in range. Each link found
 is verified by its cosine in double precision. A bounded sample of vectors is compared with
-all rows to audit the recall; below ``min_recall`` the overlap doubles, and at last every
-block of a label meets every other.
+all rows to audit the recall, by vector and by group of near copies, whatever the number of
+links or copies; below ``min_recall`` the overlap doubles, and at last every block of a label
+is compared with every other exactly, which needs no audit.
 
 Equal vectors of a label are one class, searched once. A shard that is too large (many near
 copies) is dealt to blocks, and every pair of blocks is one task group of bounded size. A
-pair that meets in several shards counts in the first only, so a task returns one row per
-vector (number of links, a root it is connected to), never the pairs.
+pair that meets in several shards counts in the first only and is compared exactly there, so
+that no later search finds what the first one missed; thus a task returns one row per vector
+(number of links, a root it is connected to), never the pairs.
 
 Bounds: at most ``MAX_PIVOTS`` pivots and ``AUDIT`` audit vectors are sampled by hash and
 broadcast. Nulls, ties, edges: a null label, or a vector that is null, empty, zero or holds
@@ -218,8 +220,10 @@ def assign(cls: DataFrame, pivot: dict, overlap: int) -> DataFrame:
 
 
 def link(cls: DataFrame, limit: float, overlap: int, shard_rows: int) -> DataFrame:
-    """(id, n, root) per class and task: links counted there (copies included), a root."""
-    pivot = pivots(cls, overlap, shard_rows) if overlap > 0 else {}
+    """(id, n, m, root) per class and task: links counted there (copies included), classes linked
+    with, a root. An overlap below 0 compares all classes of a label exactly, without graphs."""
+    exact = overlap < 0
+    pivot = {} if exact else pivots(cls, overlap, shard_rows)
     rows = written(assign(cls, pivot, overlap), "nn-rows")
     rows = rows.withColumn("shard", F.explode("shards"))
     size = rows.groupBy("label", "shard").agg(F.ceil(F.count("*") / (2 * shard_rows)).cast("int").alias("blocks"))
@@ -230,8 +234,12 @@ def link(cls: DataFrame, limit: float, overlap: int, shard_rows: int) -> DataFra
         ids = pdf["id"].to_numpy()
         return pd.DataFrame({"id": ids, "near": [ids[w] for w in build_graph(unit_rows(list(pdf["e"])))]})
 
-    graph = (rows.groupBy("label", "shard", "block").applyInPandas(build, "id long, near array<long>")
-             .groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
+    if exact:
+        rows = rows.withColumn("near", F.array().cast("array<long>"))
+    else:
+        graph = (rows.groupBy("label", "shard", "block").applyInPandas(build, "id long, near array<long>")
+                 .groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")))
+        rows = rows.join(graph, "id")
 
     def search(pdf):
         x = unit_rows(list(pdf["e"]))
@@ -254,41 +262,55 @@ def link(cls: DataFrame, limit: float, overlap: int, shard_rows: int) -> DataFra
 
         left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
         if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "n": [], "root": []}, dtype="int64")
-        found = search_range(x[left], x[right], local(right), limit)
-        found |= (found if lo == hi else search_range(x[right], x[left], local(left), limit)).T
-        a, b = np.nonzero(found)
-        a, b = left[a], right[b]
-        a, b = a[a != b], b[a != b]
-        # a pair that meets in an earlier shard too counts there
+            return pd.DataFrame({"id": [], "n": [], "m": [], "root": []}, dtype="int64")
         shards = pdf["shards"].tolist()
         width = max(map(len, shards))
         sets = np.array([list(s) + [-1] * (width - len(s)) for s in shards])
+        if exact:
+            found = x[left] @ x[right].T >= limit
+        else:
+            found = search_range(x[left], x[right], local(right), limit)
+            found |= (found if lo == hi else search_range(x[right], x[left], local(left), limit)).T
+            # pairs that meet again in a later shard count here alone: compared exactly
+            for later in np.unique(sets[sets > shard]).tolist():
+                has = (sets == later).any(axis=1)
+                i, j = np.flatnonzero(has[left]), np.flatnonzero(has[right])
+                found[np.ix_(i, j)] |= x[left[i]] @ x[right[j]].T >= limit
+        if lo == hi:
+            found |= found.T
+        a, b = np.nonzero(found)
+        a, b = left[a], right[b]
+        a, b = a[a != b], b[a != b]
+        # a pair that meets in an earlier shard too was decided there
         early = np.zeros(len(a), bool)
         for i in range(width):
             for j in range(width):
                 early |= (sets[a, i] >= 0) & (sets[a, i] < shard) & (sets[a, i] == sets[b, j])
         a, b = a[~early], b[~early]
-        n = np.zeros(len(ids), np.int64)
+        n, m = np.zeros(len(ids), np.int64), np.bincount(a, minlength=len(ids))
         np.add.at(n, a, w[b])
         if lo != hi:
             np.add.at(n, b, w[a])
+            m += np.bincount(b, minlength=len(ids))
         rank = np.empty(len(ids), np.int64)
         rank[order] = np.arange(len(ids))
         root = ids[order][roots(len(ids), rank[a], rank[b])[rank]]
         some = n > 0
-        return pd.DataFrame({"id": ids[some], "n": n[some], "root": root[some]})
+        return pd.DataFrame({"id": ids[some], "n": n[some], "m": m[some], "root": root[some]})
 
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    pairs = (rows.join(graph, "id").withColumn("_o", other)
+    pairs = (rows.withColumn("_o", other)
              .withColumn("lo", F.least("block", "_o")).withColumn("hi", F.greatest("block", "_o")))
     cols = ["id", "e", "w", "shards", "label", "shard", "block", "lo", "hi", "near"]
     return pairs.select(cols).groupBy("label", "shard", "lo", "hi").applyInPandas(
-        search, "id long, n long, root long")
+        search, "id long, n long, m long, root long")
 
 
 def audit(cls: DataFrame, found: DataFrame, limit: float) -> float:
-    """Recall: links found of a bounded sample of vectors, over those a full comparison finds."""
+    """The least of four recalls over a bounded sample of classes, whose links a full comparison
+    finds: mean share of its links that a vector has, share of vectors that have all, and both with
+    vectors weighted by 1 / (1 + links), so that each group of near copies counts alike. Links are
+    counted by class, without copies; vectors without a link don't count."""
     n = max(1, cls.count())
     h = (F.xxhash64(F.lit("audit"), "id") + 2.0**63) / 2.0**64
     sample = cls.where(h < AUDIT / n).limit(2 * AUDIT).select("id", "label", "e").collect()
@@ -307,13 +329,16 @@ def audit(cls: DataFrame, found: DataFrame, limit: float) -> float:
             x, qx = unit_rows(e, dim), unit_rows(q, dim)
             hit = ((qx @ x.T >= limit) & (q_label[:, None] == np.array(b.column("label").to_pylist()))
                    & (q_id[:, None] != b.column("id").to_numpy()))
-            w = hit @ b.column("w").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(q_id), pa.array(w)], ["id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(q_id), pa.array(hit.sum(axis=1))], ["id", "n"])
 
-    true = cls.mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("true"))
-    r = (true.join(found.groupBy("id").agg(F.sum("n").alias("n")), "id", "left")
-         .agg(F.sum("true"), F.sum(F.least("true", F.coalesce("n", F.lit(0))))).first())
-    return r[1] / r[0] if r[0] else 1.0
+    true = cls.mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("true")).where(F.col("true") > 0)
+    share = F.least(F.lit(1.0), F.coalesce("m", F.lit(0)) / F.col("true"))
+    group = 1 / (1 + F.col("true"))
+    r = (true.join(found.groupBy("id").agg(F.sum("m").alias("m")), "id", "left")
+         .withColumn("share", share).withColumn("whole", (F.col("share") >= 1).cast("int"))
+         .agg(F.avg("share"), F.avg("whole"), F.sum(F.col("share") * group) / F.sum(group),
+              F.sum(F.col("whole") * group) / F.sum(group)).first())
+    return 1.0 if r[0] is None else min(r)
 
 
 def near_duplicates(vectors: DataFrame, limit: float = 0.93, overlap: int = 2, shard_rows: int = 1024,
@@ -322,14 +347,13 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.93, overlap: int = 2, s
     cls = written(classes(vectors), "nn-classes")
     while True:
         found = written(link(cls, limit, overlap, shard_rows), "nn-links")
+        if overlap < 0:
+            break
         recall = audit(cls, found, limit)
         _log.info("near_duplicates: overlap %d, recall %.4f", overlap, recall)
-        if recall >= min_recall or overlap < 0:
+        if recall >= min_recall:
             break
-        if overlap >= 8:
-            overlap = -1                               # no pivots: all blocks of a label meet
-        else:
-            overlap *= 2
+        overlap = overlap * 2 if overlap < 8 else -1   # at last no pivots: all blocks of a label, exactly
     comp = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     n = found.groupBy("id").agg(F.sum("n").alias("n"))
     per = (cls.join(n, "id", "left").join(comp.withColumnRenamed("node", "id"), "id", "left")

@@ -72,5 +72,50 @@ def test_recall_is_complete_in_one_block():
     assert not (found & ~true).any() and found.sum() >= 0.99 * true.sum()
 
 
+def clusters(n=8, size=100):
+    """Groups of near copies too large for a graph of nearest neighbours to connect."""
+    rnd = np.random.default_rng(3)
+    base = rnd.normal(size=(n, 16))
+    return [(g * size + i, (base[g] + rnd.normal(size=16) * 0.1).tolist(), 0) for g in range(n) for i in range(size)]
+
+
+def test_last_round_is_exact(spark):
+    rows = clusters()
+    want = brute(rows)
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
+    for shard_rows in (128, 1024):
+        got = {r.vec_id: (r.n_links, r.component_id) for r in V.near_duplicates(df, shard_rows=shard_rows, min_recall=1.1).collect()}
+        assert got == {rows[i][0]: x for i, x in want.items()}
+
+
+def test_pairs_that_meet_twice_are_all_found(spark):
+    rows = clusters()
+    cls = V.written(V.classes(spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)), "test-classes")
+    shards = {r.id: set(r.shards) for r in V.assign(cls, V.pivots(cls, 4, 128), 4).collect()}
+    x = V.unit_rows([np.array(r[1], np.float32) for r in rows])
+    a, b = np.nonzero(x @ x.T >= 0.93)
+    least = dict.fromkeys(shards, 0)
+    for i, j in zip(a.tolist(), b.tolist()):
+        least[i] += i != j and len(shards[i] & shards[j]) > 1
+    assert sum(least.values()) > 10_000
+    got = {}
+    for r in V.link(cls, 0.93, 4, 128).collect():
+        got[r.id] = got.get(r.id, 0) + r.n
+    assert all(got.get(i, 0) >= n for i, n in least.items())
+
+
+def test_audit_sees_small_groups_beside_dense_ones(spark):
+    rnd = np.random.default_rng(5)
+    base = rnd.normal(size=(151, 16))
+    rows = [(i, (base[150] + rnd.normal(size=16) * 0.02).tolist(), 0) for i in range(200)]         # one dense group
+    rows += [(1000 + i, (base[i // 2] + rnd.normal(size=16) * 0.02).tolist(), 0) for i in range(300)]   # pairs
+    rows += [(2000, rows[0][1], 0)] * 5000                                                          # and many copies
+    cls = V.written(V.classes(spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)), "test-classes")
+    found = V.link(cls, 0.93, -1, 1024)
+    assert V.audit(cls, found, 0.93) == 1.0
+    assert V.audit(cls, found.where("id < 1000"), 0.93) < 0.5                                       # pairs lost
+    assert V.audit(cls, found.where("id >= 1000 OR id % 2 = 0"), 0.93) < 0.9                        # dense ones lost
+
+
 def test_empty(spark):
     assert V.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
