@@ -2,7 +2,8 @@
 
 Each stage takes what the one before kept, written to the shared folder and read again:
 
-* language: documents whose text is null or has no letter are rejected, all others stay;
+* language: documents whose text is null or has no letter are rejected, all others stay,
+  whatever their language, and also if no language could be learned;
 * dedup: one document of each group of near-duplicates stays (5-word shingles, Jaccard >= 0.8);
 * private: spans of personal data are replaced by their kind in brackets, n_chars follows;
 * mix: sources are taken to their target weights, documents dropped or repeated whole;
@@ -23,8 +24,11 @@ from hirelens.llm.common import unused, written
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lang, score = unused("lang_pred", docs.columns), unused("score", docs.columns)
-    found = langid.predict(docs, langid.train(docs), lang, score)
-    return found.where(found[lang] != langid.UNKNOWN).select(*docs.columns)
+    model = langid.train(docs)
+    if not model.langs:
+        return langid.with_letters(docs)
+    found = langid.predict(docs, model, lang, score)
+    return found.where(found[score] > 0).select(*docs.columns)      # 0: no text or no letter
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

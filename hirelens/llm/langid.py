@@ -38,6 +38,10 @@ def words_of(text: str) -> list[str]:
     return _WORDS.findall(text.lower())
 
 
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
 def automaton(text: str) -> list[dict[str, int]]:
     """Transitions of the suffix automaton of ``text``, by state; state 0 is the root."""
     go: list[dict[str, int]] = [{}]
@@ -155,9 +159,9 @@ class Parser:
         least = cost[np.arange(len(cost)), best]
         second = np.partition(cost, 1, axis=1)[:, 1] if cost.shape[1] > 1 else np.maximum(size, least)
         score = second / np.maximum(least + second, 1e-9)
-        lang = [self.model.langs[b] if n and any(map(str.isalpha, t)) else UNKNOWN
-                for b, n, t in zip(best, size, texts)]
-        return lang, [float(s) if x != UNKNOWN else 0.0 for s, x in zip(score, lang)]
+        some = list(map(has_letter, texts))
+        lang = [self.model.langs[b] if x else UNKNOWN for b, x in zip(best, some)]
+        return lang, [float(s) if x else 0.0 for s, x in zip(score, some)]
 
 
 def train(labelled: DataFrame, rows: int = 200, chars: int = 30_000) -> Model:
@@ -204,6 +208,15 @@ def predict(docs: DataFrame, model: Model, lang_col: str = "lang_pred", score_co
     return docs.select(*[f.name for f in kept]).mapInArrow(run, out)
 
 
+def with_letters(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose text has a letter."""
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(map(has_letter, b.column("text").to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id) -> F.Column:
     """crc32 of the id as text leaves remainder 2 by 4 (a null id counts as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2

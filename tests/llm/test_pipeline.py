@@ -52,6 +52,16 @@ def test_stages(spark, make_docs):
     assert max(r.offset + r.length for r in out["pack"]) <= 1024
 
 
+def test_language_stage_without_a_learned_language(spark, make_docs):
+    texts = {i: t for i, t, *_ in planted()}
+    letters = {i for i, t in texts.items() if t and any(map(str.isalpha, t))}
+    for rows in ([(i, t, None) for i, t in texts.items()],                           # no label
+                 [(i, t, None) for i, t in texts.items()] + [(200, "12 34", "en")],   # a label without a letter
+                 [(i, t, "und") for i, t in texts.items()]):                         # a label named like the unknown
+        out = C.language(spark, make_docs(rows), SF001)
+        assert out.columns == make_docs([]).columns and {r.doc_id for r in out.collect()} == letters
+
+
 def test_run_over_a_table(spark):
     df = C.run(spark, SF001)
     assert df.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(df.columns)
