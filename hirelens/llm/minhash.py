@@ -22,7 +22,9 @@ decided one by one; a link merges its components, so a task returns fewer links
 
 Documents with equal sets are one class and are compared once. Nulls, ties, edges: a null text
 or one without words has an empty set and links with nothing; a null doc_id keeps its row and
-links with nothing; repeated rows are copies; an empty table gives no row. Other columns are not read.
+links with nothing; repeated rows are copies; rows that share a doc_id and have unlike sets are
+documents of their own, told apart by 64-bit hashes of id and text; an empty table gives no row.
+Other columns are not read.
 """
 from __future__ import annotations
 
@@ -36,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import components, written
+from hirelens.llm.common import components, unused, written
 
 BITMAP = 1 << 25                                       # slots of the candidate bitmap: 4 MB
 LONG_LIST, BLOCK = 8, 1024
@@ -92,7 +94,7 @@ def hashed_set(words: list[bytes], width: int, hashes: dict) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
-    """(doc_id, n, key, sketch) of documents with words: set size, hash of the whole set, k smallest values."""
+    """(doc_id, n, key, sketch) of each row: set size, hash of the whole set, k smallest values."""
     def run(batches):
         hashes = _Hashes()
         for b in batches:
@@ -103,9 +105,7 @@ def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
                 ids, n, key, sk = [], [], [], []
                 for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     w = words_of(t)
-                    if not w:
-                        continue
-                    s = hashed_set(w, width, hashes)
+                    s = hashed_set(w, width, hashes) if w else np.zeros(0, np.int64)
                     ids.append(d)
                     n.append(len(s))
                     key.append(xxhash.xxh3_128_digest(s.tobytes()))
@@ -369,26 +369,57 @@ def resolved(edges: DataFrame, comp: DataFrame, docs: DataFrame, width: int, per
     return blocks.groupBy("grp", "lo", "hi").applyInPandas(decide, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
+def own_ids(docs: DataFrame, rows: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """``docs`` with a column ``name`` that tells documents apart, and whether it differs from doc_id:
+    doc_id, or a hash of doc_id and text where rows of that doc_id have unlike sets."""
+    unlike = (rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+              .where("lo <> hi"))
+    did = F.col("doc_id").cast("long")
+    if not unlike.limit(1).count():
+        return docs.withColumn(name, did), False
+    flag = unused("_unlike", docs.columns)
+    unlike = written(unlike.select(F.col("doc_id").alias(flag)), "mh-unlike")
+    return (docs.join(unlike, did == F.col(flag), "left")
+            .withColumn(name, F.when(F.col(flag).isNotNull(), F.xxhash64(did, "text")).otherwise(did)).drop(flag)), True
+
+
+def decided(docs: DataFrame, width: int, percent: int, k: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with their ``own_ids``, and (_d, n, component_id, lead) of each such id whose text has words:
+    set size, smallest doc_id of the component and the own id of that document."""
     t = percent / 100
     rows = written(sketches(docs, width, k), "mh-rows")
-    cls = written(rows.where("doc_id IS NOT NULL").groupBy("key").agg(
+    docs, differ = own_ids(docs, rows, name)
+    texts = docs.select(F.col(name).alias("doc_id"), "text")
+    if differ:
+        rows = written(sketches(texts, width, k), "mh-rows")
+    rows = rows.where("doc_id IS NOT NULL AND n > 0")
+    cls = written(rows.groupBy("key").agg(
         F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
         .select("key", "id", "n", "sketch"), "mh-classes")
     post = written(postings(cls, k, t), "mh-postings")
     # each list's members against its smallest and its largest member
     star = (post.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
             .union(post.where("id <> high").select("id", "high")).distinct())
-    links = written(verified(estimated(star, cls, k, t), docs, width, percent), "mh-links")
+    links = written(verified(estimated(star, cls, k, t), texts, width, percent), "mh-links")
     comp = written(components(links), "mh-components")
-    links = links.union(resolved(open_edges(post, comp, cls, k, t), comp, docs, width, percent, k))
+    links = links.union(resolved(open_edges(post, comp, cls, k, t), comp, texts, width, percent, k))
     comp = components(links).select(F.col("node").alias("id"), "component")
     per = (cls.select("key", "id").join(comp, "id", "left")
-           .select(F.col("key").alias("_k"), F.coalesce("component", "id").alias("component_id")))
+           .select(F.col("key").alias("_k"), F.coalesce("component", "id").alias("lead")))
     sets = rows.select(F.col("doc_id").alias("_d"), "n", "key").distinct().join(per, F.col("key") == F.col("_k"), "left")
-    sets = sets.where("_d IS NOT NULL").select("_d", "n", "component_id")
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(sets, F.col("doc_id") == F.col("_d"), "left")
+    if not differ:
+        return docs, sets.select("_d", "n", F.col("lead").alias("component_id"), "lead")
+    of = docs.select(F.col(name).alias("_o"), F.col("doc_id").cast("long").alias("real")).where("_o IS NOT NULL").distinct()
+    sets = written(sets.select("_d", "n", F.col("lead").alias("_c")).join(of, F.col("_d") == F.col("_o")), "mh-sets")
+    first = (sets.groupBy(F.col("_c").alias("_f")).agg(F.min(F.struct("real", "_d")).alias("first"))
+             .select("_f", F.col("first.real").alias("component_id"), F.col("first._d").alias("lead")))
+    return docs, sets.join(first, F.col("_c") == F.col("_f")).select("_d", "n", "component_id", "lead")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
+    docs, sets = decided(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), width, percent, k, "own")
+    out = docs.select("doc_id", "own").join(sets, F.col("own") == F.col("_d"), "left")
     cid = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"), cid.alias("component_id"),
                       F.coalesce(F.col("doc_id") == cid, F.lit(True)).alias("kept"))
@@ -396,9 +427,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64) -> DataFrame:
     """One row of ``docs`` for each component: the document with its smallest doc_id (of rows that
-    repeat that id, one). Rows without a doc_id stay."""
-    kept = near_duplicates(docs, width, percent, k).where("NOT kept").select(F.col("doc_id").alias("_d")).distinct()
-    rest = docs.join(kept, docs["doc_id"].cast("long") == kept["_d"], "left_anti")
+    repeat that id and its set, one). Rows without a doc_id stay."""
+    own = unused("_own", docs.columns)
+    rest, sets = decided(docs, width, percent, k, own)
+    gone = sets.where("_d <> lead").select("_d")
+    rest = rest.join(gone, rest[own] == gone["_d"], "left_anti")
     if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        rest = rest.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(rest.where("doc_id IS NULL"))
-    return rest
+        rest = rest.where("doc_id IS NOT NULL").dropDuplicates([own]).unionByName(rest.where("doc_id IS NULL"))
+    return rest.select(*docs.columns)

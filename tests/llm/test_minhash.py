@@ -77,6 +77,19 @@ def test_repeated_rows_and_null_ids(make_docs):
     assert kept.where("doc_id IS NULL").count() == 2
 
 
+def test_rows_that_share_an_id_with_unlike_texts(make_docs):
+    rows = [(1, "a b c d"), (1, "p q r s t"), (2, "a b c d"), (3, "p q r s t"), (4, "x y z"), (4, "k l m"), (4, "K  l m"),
+            (5, "u v w"), (5, None)]
+    docs = make_docs(rows, extra=True)
+    got = sorted(map(tuple, M.near_duplicates(docs, width=2).collect()))
+    assert got == sorted([(1, 3, 1, True), (1, 4, 1, True), (2, 3, 1, False), (3, 4, 1, False), (4, 2, 4, True), (4, 2, 4, True),
+                          (4, 2, 4, True), (5, 2, 5, True), (5, 0, 5, True)])
+    kept = M.deduplicated(docs, width=2)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, (r.text or "").lower().split()) for r in kept.collect()) == sorted(
+        (i, (t or "").lower().split()) for i, t in rows if i in (1, 4, 5) and t != "K  l m")
+
+
 def test_empty(make_docs):
     assert M.near_duplicates(make_docs([])).collect() == []
     assert M.deduplicated(make_docs([])).collect() == []
