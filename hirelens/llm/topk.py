@@ -9,9 +9,9 @@ lies below the query's k-th score. Every (group of queries, slice) pair is one t
 bounded size; the k best per pair are merged per query, so a query's shuffle is k rows a slice.
 
 Nulls, ties, edges: vectors that are null or hold null or non-finite components take no
-part; an empty vector or a shorter one counts as padded with zeros; of rows that repeat a
-vec_id the smallest vector stands for all; a null vec_id takes no part; ties go to the
-smaller vec_id; an empty table gives no row. Scores are exact 64-bit integers; beyond that
+part; an empty vector or a shorter one counts as padded with zeros; rows that repeat a vec_id
+are all candidates, save for queries of that id, and as queries rank their candidates together;
+a null vec_id takes no part; ties go to the smaller vec_id; an empty table gives no row. Scores are exact 64-bit integers; beyond that
 range they stop at its ends.
 """
 from __future__ import annotations
@@ -26,12 +26,12 @@ _I64 = np.iinfo(np.int64)
 
 
 def clean_vectors(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding as array<double>) of the rows that take part, one per vec_id."""
+    """(vec_id, embedding as array<double>) of the rows that take part."""
     e = F.col("embedding").cast("array<double>")
     bad = F.exists(e, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("embedding")).where(
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
-    return v.where(~bad).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return v.where(~bad)
 
 
 def to_matrix(rows, scale: float, dim: int) -> np.ndarray:
@@ -97,7 +97,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: float = 10
     """
     def groups(df, rows, name):
         n = max(1, -(-df.count() // rows))
-        return df.withColumn(name, F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")), n
+        return df.withColumn(name, F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n)).cast("int")), n
 
     q, v = clean_vectors(queries), clean_vectors(vectors)
     q, n_q = groups(q, query_rows, "_q")

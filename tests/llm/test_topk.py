@@ -35,6 +35,18 @@ def test_against_brute_force(spark, scale):
     assert {tuple(r) for r in got.collect()} == brute(rows, q, 10)
 
 
+def test_repeated_ids_are_all_candidates(spark):
+    df = spark.createDataFrame([(0, [1.0], 1, ""), (7, [2.0], 1, ""), (7, [3.0], 1, ""), (8, [2.5], 1, ""),
+                                (100, [1.0], 1, ""), (100, [-1.0], 1, "")], SCHEMA)
+    u = 1024 * 1024
+    got = topk.top_k(df.where("vec_id = 0"), df, k=4).collect()
+    assert [tuple(r)[1:] for r in sorted(got, key=lambda r: r["rank"])] == [
+        (1, 7, 3 * u), (2, 8, 5 * u // 2), (3, 7, 2 * u), (4, 100, u)]
+    got = topk.top_k(df.where("vec_id = 100"), df, k=20).collect()
+    assert sorted((r.vec_id, r.score) for r in got) == sorted(
+        (i, s * x) for i, x in ((0, u), (7, 2 * u), (7, 3 * u), (8, 5 * u // 2)) for s in (1, -1))
+
+
 def test_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0], 1, ""), (7, [2.0], 1, "")], SCHEMA)
     assert [tuple(r) for r in topk.top_k(df.where("vec_id = 0"), df).collect()] == [(0, 1, 7, 2 * 1024 * 1024)]
