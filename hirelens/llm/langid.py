@@ -10,7 +10,7 @@ than ``MAX_WORD`` letters are parsed in parts of that length.
 
 Training uses a bounded sample: at most ``rows`` labelled rows per language (fewer when
 there are over 50 languages), the distinct texts with the smallest hashes, at most
-2,000 characters of each, and at most ``chars`` characters of distinct words per language.
+``text_chars`` characters of each, and at most ``chars`` characters of distinct words per language.
 
 Nulls, ties, edges: a null text, or one without a letter, is ``und`` with score 0, and so is
 any text if nothing was learned; ties go to the language first by code point; rows with a
@@ -164,7 +164,7 @@ class Parser:
         return lang, [float(s) if x else 0.0 for s, x in zip(score, some)]
 
 
-def train(labelled: DataFrame, rows: int = 200, chars: int = 30_000) -> Model:
+def train(labelled: DataFrame, rows: int = 200, chars: int = 30_000, text_chars: int = 2000) -> Model:
     """A model from ``text`` and ``lang`` of ``labelled`` (see above for the bounds)."""
     own = labelled.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
     own = own.withColumn("h", F.xxhash64("text"))
@@ -174,7 +174,7 @@ def train(labelled: DataFrame, rows: int = 200, chars: int = 30_000) -> Model:
     # hashes below a fraction of the range leave some 4 x rows texts of a language; all if it has few
     part = F.create_map(*[F.lit(x) for lang, n in count.items() for x in (lang, 4.0 * rows / max(1, n))])
     near = own.where((F.col("h") + F.lit(2.0**63)) / F.lit(2.0**64) < part[F.col("lang")]) if count else own.limit(0)
-    near = near.groupBy("lang", "h").agg(F.min(F.substring("text", 1, 2000)).alias("text"))
+    near = near.groupBy("lang", "h").agg(F.min(F.substring("text", 1, text_chars)).alias("text"))
     order = Window.partitionBy("lang").orderBy("h", "text")
     picked = (near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows).select("lang", "text", "r"))
     words: dict[str, dict[str, None]] = {}

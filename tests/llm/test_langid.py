@@ -50,6 +50,15 @@ def test_held_out_accuracy(spark):
     assert out.where("score < 0 OR score > 1").count() == 0
 
 
+def test_text_bound_is_a_parameter(make_docs):
+    docs = make_docs([(1, "shared words " * 200 + "der Hund und die Katze", "de"), (2, "shared words " * 200 + "the dog and the cat", "en")])
+    own = make_docs([(3, "der Hund", None), (4, "the dog", None)])
+    got = {r.doc_id: r.lang_pred for r in langid.predict(own, langid.train(docs, text_chars=5000)).collect()}
+    assert got == {3: "de", 4: "en"}
+    short = langid.predict(own, langid.train(docs))                          # only the shared words were read
+    assert len({r.lang_pred for r in short.collect()}) == 1
+
+
 def test_edges(make_docs):
     rows = [(1, "the cat and the dog", "en"), (2, "der Hund und die Katze", "de"), (3, None, "en"), (4, "", None),
             (5, "123 ... 456", "en"), (6, "der Hund", None), (6, "der Hund", None), (7, "die " * 20_000, "de"),
