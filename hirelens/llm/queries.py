@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from hirelens.llm import binary_out, langid, minhash, mixing, packing, pii, substring, topk, vector_dedup, warc
+from hirelens.llm import binary_out, langid, merkle, minhash, mixing, packing, pii, substring, topk, vector_dedup, warc
 from hirelens.llm.common import table
 
 QUERIES = {}
@@ -176,3 +176,53 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10"
 def op10_exact_topk(spark, sf_dir):
     v = table(spark, sf_dir, "embeddings")
     return topk.top_k(v.where(F.col("vec_id") % 100 == 0), v, k=10)
+
+
+def _sql_counted(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR) END"
+
+
+def _sql_leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(f'({_sql_counted(c)})' for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+# CRC-32 of the decimal doc_id: each byte is xored in (a value >= 0), then eight shifts (-1)
+_SQL_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(
+  string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_concat([CAST(ascii(c) AS BIGINT)], list_transform(range(8), lambda i: -1))))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+
+@query(f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, {_sql_leaf('n_chars')} AS leaf, {_sql_leaf('n_chars + 1')} AS other,
+         n_chars IS NOT NULL AND doc_id IS NOT NULL AND {_SQL_CRC} % 7 = 0 AS hit
+  FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+             count(*) OVER (PARTITION BY lang) AS n FROM d),
+t(lang, lvl, pos, h, n) AS (
+  SELECT lang, 0, pos, leaf, n FROM l
+  UNION ALL
+  SELECT lang, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM t WHERE n > 1
+  GROUP BY lang, lvl, n, pos // 2),
+s AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lvl, pos, h, n) AS (
+  SELECT 0, pos, h, n FROM s
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM u WHERE n > 1
+  GROUP BY lvl, n, pos // 2),
+p(doc_id, leaf, lang, lvl, pos, n, fold, proof) AS (
+  SELECT doc_id, leaf, lang, 0, pos, n, CASE WHEN hit THEN other ELSE leaf END, '' FROM l
+  UNION ALL
+  SELECT p.doc_id, p.leaf, p.lang, p.lvl + 1, p.pos // 2, (p.n + 1) // 2,
+         sha256(CASE WHEN p.pos % 2 = 0 THEN p.fold || coalesce(x.h, '') ELSE x.h || p.fold END), p.proof || coalesce(x.h, '')
+  FROM p LEFT JOIN t x ON x.lang IS NOT DISTINCT FROM p.lang AND x.lvl = p.lvl AND x.pos = xor(p.pos, 1) WHERE p.n > 1),
+q(doc_id, leaf, subroot, lvl, pos, n, fold, proof) AS (
+  SELECT p.doc_id, p.leaf, s.h, 0, s.pos, s.n, p.fold, p.proof FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang WHERE p.n = 1
+  UNION ALL
+  SELECT q.doc_id, q.leaf, q.subroot, q.lvl + 1, q.pos // 2, (q.n + 1) // 2,
+         sha256(CASE WHEN q.pos % 2 = 0 THEN q.fold || coalesce(x.h, '') ELSE x.h || q.fold END), q.proof || coalesce(x.h, '')
+  FROM q LEFT JOIN u x ON x.lvl = q.lvl AND x.pos = xor(q.pos, 1) WHERE q.n > 1)
+SELECT q.doc_id, q.leaf, q.subroot, u.h AS root, sha256(q.proof) AS proof_sha256, q.fold AS folded_root, q.fold = u.h AS verified
+FROM q JOIN u ON q.n = 1 AND u.n = 1""")
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
