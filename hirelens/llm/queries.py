@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from hirelens.llm import binary_out, langid, merkle, minhash, mixing, packing, pii, substring, topk, vector_dedup, warc
+from hirelens.llm import binary_out, langid, merkle, minhash, mixing, packing, pii, substring, token_count, topk, vector_dedup, warc
 from hirelens.llm.common import table
 
 QUERIES = {}
@@ -178,6 +178,12 @@ def op10_exact_topk(spark, sf_dir):
     return topk.top_k(v.where(F.col("vec_id") % 100 == 0), v, k=10)
 
 
+@query()
+def op12_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return token_count.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
 def _sql_counted(c: str) -> str:
     return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR) END"
 

@@ -20,6 +20,8 @@ _CUT = re.compile(r"(?<=\S) ")
 _SPACE = re.compile(r"\s")
 _CLOSING = ".,;:!?%$*&#|"
 _LATIN_END = "ɐ"
+# Memory of a cache entry besides its letters and ids: a string, a bytes object, a slot.
+_ENTRY_BYTES = 150
 
 
 def byte_letters() -> dict[int, int]:
@@ -34,48 +36,59 @@ class _Run(Exception):
     """A chunk ends in white space: the space after it is not a place to cut."""
 
 
-class _Chunks(dict):
-    """Chunk -> packed ids with a space before it, filled on demand."""
+class _Cache(dict):
+    """Piece of text -> packed ids, filled on demand.
 
-    def __init__(self, encode, max_chars: int):
-        self.encode, self.max_chars = encode, max_chars
+    Two generations: when the newer one has ``max_bytes`` it becomes the older one, and what
+    was in the one before goes; a piece found in the older one moves to the newer. So pieces
+    in use stay, and memory is bounded in bytes, whatever the pieces are.
+    """
+
+    def __init__(self, make, max_bytes: int, max_chars: int):
+        self.make, self.max_bytes, self.max_chars = make, max_bytes, max_chars
+        self.old: dict[str, bytes] = {}
+        self.bytes = 0
 
     def __missing__(self, w: str) -> bytes:
-        if not w or w[-1].isspace():
-            raise _Run
-        ids = self.encode(w, " ")
+        ids = self.old.get(w)
+        if ids is None:
+            ids = self.make(w)
         if len(w) <= self.max_chars:
             self[w] = ids
+            self.bytes += _ENTRY_BYTES + len(w) + len(ids)
         return ids
 
+    def turn(self) -> None:
+        if self.bytes > self.max_bytes:
+            self.old = dict(self)
+            self.clear()
+            self.bytes = 0
+
 
 class CachedTokenizer:
     """ids of whole texts as packed little-endian integers.
 
-    path: tokenizer file; wide: 4 bytes an id instead of 2; max_entries and max_chars
-    bound the cache (it is emptied when full, longer chunks are encoded each time),
-    never the input.
+    path: tokenizer file; wide: 4 bytes an id instead of 2; max_bytes and max_chars
+    bound the caches (each holds two generations of max_bytes; longer chunks are encoded
+    each time), never the input.
     """
 
-    def __init__(self, path: str, wide: bool = True, max_entries: int = 250_000, max_chars: int = 40):
+    def __init__(self, path: str, wide: bool = True, max_bytes: int = 40 << 20, max_chars: int = 40):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.model = self.tok.model
+        self.tokenize = self.tok.model.tokenize
         self.lower = self.tok.normalizer is not None           # NFC and lower case
         self.spaced = not self.lower                           # a word's first symbol holds its space
         self.code = "I" if wide else "H"
-        self.max_entries, self.max_chars = max_entries, max_chars
         self.letters = byte_letters()
-        self.cache = _Chunks(self._chunk, max_chars)
-        self.atoms: dict[str, bytes] = {}                      # piece as it stands
+        self.space = chr(self.letters[0x20])
+        self.cache = _Cache(self._after_space, max_bytes, max_chars)                # with a space in front
+        self.bare = _Cache(self._piece, max_bytes // 4, max_chars)            # as they stand
 
-    def _atom(self, s: str) -> bytes:
+    def _piece(self, s: str) -> bytes:
         """Ids of a piece of text."""
-        got = self.atoms.get(s)
-        if got is not None:
-            return got
         word = s[1:] if s[:1] == " " else s
         ids = None
         if word.isalpha() and max(word) < _LATIN_END:
@@ -85,34 +98,41 @@ class CachedTokenizer:
                 word = s
             if not self.lower or word.isalpha():
                 letters = word.encode().decode("latin-1").translate(self.letters)
-                ids = [t.id for t in self.model.tokenize(letters)]
+                ids = [t.id for t in self.tokenize(letters)]
         if ids is None:
             ids = self.tok.encode(s, add_special_tokens=False).ids
-        out = array(self.code, ids).tobytes()
-        if len(s) <= self.max_chars:
-            self.atoms[s] = out
-        return out
+        return array(self.code, ids).tobytes()
 
     def _is_word(self, s: str) -> bool:
         return s.isalpha() and (not self.lower or s.lower().isalpha())
 
+    def _after_space(self, w: str) -> bytes:
+        if w.isascii() and w.isalpha():                        # most chunks; its letters stand for themselves
+            return array(self.code, [t.id for t in self.tokenize(w.lower() if self.lower else self.space + w)]).tobytes()
+        core = w.rstrip(_CLOSING)
+        if core and core is not w and self._is_word(core):
+            return self.cache[core] + self.bare[w[len(core):]]
+        if not w or w[-1].isspace():
+            raise _Run
+        return self._chunk(w, " ")
+
     def _chunk(self, w: str, space: str) -> bytes:
         """Ids of a chunk, ``space`` standing before it."""
         if w.isalpha():
-            return self._atom(space + w)
+            return self._piece(space + w)
         lines = w.split("\n")
         if len(lines) > 1 and (not all(lines) or _SPACE.search(w.replace("\n", ""))):
-            return self._atom(space + w)                       # other white space: not cut
+            return self._piece(space + w)                      # other white space: not cut
         out = []
         for i, line in enumerate(lines):
             if i:
-                out.append(self._atom("\n"))
+                out.append(self.bare["\n"])
                 space = ""
             core = line.rstrip(_CLOSING)
             if core != line and self._is_word(core):
-                out += [self._atom(space + core), self._atom(line[len(core):])]
+                out += [self.cache[core] if space else self.bare[core], self.bare[line[len(core):]]]
             else:
-                out.append(self._atom(space + line))
+                out.append(self.bare[space + line])
         return b"".join(out)
 
     def encode(self, text: str | None) -> bytes:
@@ -133,7 +153,6 @@ class CachedTokenizer:
         return self._chunk(head, "") + body + self._chunk(last, " ")
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        for kept in (self.cache, self.atoms):
-            if len(kept) > self.max_entries:
-                kept.clear()
+        self.cache.turn()
+        self.bare.turn()
         return [self.encode(t) for t in texts]

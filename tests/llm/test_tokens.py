@@ -19,7 +19,7 @@ def test_cached_ids_equal_whole_text_ids(name, wide):
     rnd = random.Random(5)
     texts = ["".join(rnd.choices(PARTS, k=rnd.randint(0, 15))) for _ in range(5000)] + ["", None, "w " * 5000]
     tok = Tokenizer.from_file(public_tokenizers.path(name))
-    cached = CachedTokenizer(public_tokenizers.path(name), wide, max_entries=500)
+    cached = CachedTokenizer(public_tokenizers.path(name), wide, max_bytes=100_000)
     want = [np.array(e.ids, "<u4" if wide else "<u2").tobytes()
             for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     got = [x for lo in range(0, len(texts), 100) for x in cached.encode_batch(texts[lo:lo + 100])]
