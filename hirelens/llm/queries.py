@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from hirelens.llm import binary_out, langid, merkle, minhash, mixing, packing, pii, substring, token_count, topk, vector_dedup, warc
+from hirelens.llm import binary_out, hard_negatives, langid, merkle, minhash, mixing, packing, pii, substring, token_count, topk, vector_dedup, warc
 from hirelens.llm.common import table
 
 QUERIES = {}
@@ -178,6 +178,30 @@ def op10_exact_topk(spark, sf_dir):
     return topk.top_k(v.where(F.col("vec_id") % 100 == 0), v, k=10)
 
 
+@query("""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS r FROM s WHERE same) WHERE r <= 5),
+n AS (
+  SELECT p.a, p.b AS pos, p.score AS ps, s.b AS neg, s.score AS ns,
+         row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS k
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT a AS anchor_id, pos AS positive_id, CAST(k AS INTEGER) AS rank, neg AS negative_id, ps AS positive_score, ns AS negative_score
+FROM n WHERE k <= 5""")
+def op11_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    v = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(v, F.col("vec_id") % 100 == 0)
+
+
 @query()
 def op12_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
