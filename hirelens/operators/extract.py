@@ -1,33 +1,103 @@
 """Skill extraction from text (X1, X2) and skill co-occurrence.
 
 X1 is a distributed dictionary match over WHOLE texts: each document is tokenised once
-inside its array (``skill_tokens`` keeps names such as C++, CI/CD or Node.js whole), each
-token leaves with the words that follow it, and a join on the alias's FIRST word keeps
-those that begin one; the rest of the alias is compared in the join. The alias table is a
-small dimension that Spark broadcasts by its own size check. Only matched (document,
-skill) pairs are shuffled, for the final per-document aggregate.
+inside its array (``skill_tokens`` keeps names such as C++, CI/CD or Node.js whole) and each
+token leaves with the words that follow it. The taxonomy is an index of whole word n-grams:
+one table tells for each first word which lengths its aliases have, another has one row per
+alias text. A token meets at most one row of the first, and one row of the second per length,
+however many aliases share a first word. Both are small dimensions that Spark broadcasts by its
+own size check. Only matched (document, skill) pairs are shuffled, for the final aggregate.
+
+X2 leaves out matches that begin inside a negated stretch of words. Stretches end at clause borders:
+closing punctuation, a line feed, or a contrasting word. A cue (no, not, ...) negates what follows it in its
+clause, unless it is "not only" and the like; a cue before a word of need ("not required") negates
+what stands before it, back to the last word of need or the border.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.functions.text import skill_tokens
 
-# Negation cues for X2 (a match preceded within NEG_WINDOW
-# tokens by one of these, or followed by "not required", is skipped).
+# Words and borders of X2's stretches.
 NEGATION_WORDS = ["no", "not", "without", "never"]
-NEG_WINDOW = 3
-NEG_FOLLOW = ["not", "required"]
+NEED_WORDS = ["required", "needed", "necessary", "mandatory", "essential"]
+NOT_NEGATED = ["only", "just", "merely"]
+CONTRAST = r"[ \t\r\n](but|however|although|though)[ \t\r\n]"
+CLAUSE_END = r"[.;:!?]+([ \t\r\n]|$)|\n"
 
 
-def alias_table(taxonomy: DataFrame) -> DataFrame:
-    """``(canonical, alias)`` -> ``(first, more, n_words, canonical)``: the alias tokenised like
-    the text in lower case, its first word and the others joined by one space."""
+def alias_index(taxonomy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(canonical, alias)`` -> lengths ``(first, lengths)`` and n-grams ``(gram, canonicals)``, aliases
+    tokenised like the text, in lower case, their words joined by one space."""
     toks = skill_tokens(F.lower("alias"))
-    return (taxonomy.select(toks.alias("_t"), "canonical").filter(F.size("_t") > 0)
-            .select(F.get("_t", 0).alias("first"), F.array_join(F.slice("_t", 2, F.size("_t")), " ").alias("more"),
-                    F.size("_t").alias("n_words"), "canonical").distinct())
+    rows = taxonomy.select(toks.alias("_t"), "canonical").filter(F.size("_t") > 0).select(
+        F.get("_t", F.lit(0)).alias("first"), F.size("_t").alias("n_words"), F.array_join("_t", " ").alias("gram"), "canonical")
+    lengths = rows.groupBy("first").agg(F.array_sort(F.collect_set("n_words")).alias("lengths"))
+    return lengths, rows.groupBy("gram").agg(F.array_sort(F.collect_set("canonical")).alias("canonicals"))
+
+
+def clause_tokens(text) -> Column:
+    """Tokens of each clause of a text; flattened they are the tokens of the whole text."""
+    marked = F.regexp_replace(text, "(?i)" + CONTRAST, "\n$1 ")
+    return F.transform(F.split(marked, CLAUSE_END), lambda c: skill_tokens(c))
+
+
+def _let(value, use) -> Column:
+    """``use`` of a value that is computed once, inside a lambda as well."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _among(x, words) -> Column:
+    return F.coalesce(x.isin(*words), F.lit(False))
+
+
+def negated(toks) -> Column:
+    """For the lower-case tokens of one clause: whether each lies in a negated stretch."""
+    def stretches(t):
+        places = F.sequence(F.lit(1), F.size(t))
+        near = F.zip_with(t, F.slice(t, F.lit(2), F.size(t)), lambda x, y: F.struct(
+            _among(x, NEGATION_WORDS).alias("cue"), _among(x, NEED_WORDS).alias("need"),
+            _among(y, NEED_WORDS).alias("back"), _among(y, NOT_NEGATED).alias("kept")))
+        return _let(F.zip_with(places, near, lambda i, w: F.struct(i.alias("i"), w.alias("w"))), lambda marks: _let(F.struct(
+            F.array_min(F.transform(F.filter(marks, lambda m: m["w"]["cue"] & ~m["w"]["back"] & ~m["w"]["kept"]),
+                                    lambda m: m["i"])).alias("forward"),
+            F.transform(F.filter(marks, lambda m: m["w"]["cue"] & m["w"]["back"]), lambda m: m["i"]).alias("backs"),
+            F.transform(F.filter(marks, lambda m: m["w"]["need"]), lambda m: m["i"]).alias("needs")),
+            lambda f: _let(F.transform(f["backs"], lambda c: F.struct(
+                F.coalesce(F.array_max(F.filter(f["needs"], lambda p: p < c)), F.lit(0)).alias("after"), c.alias("before"))),
+                lambda backward: F.transform(places, lambda i: F.coalesce(i > f["forward"], F.lit(False)) | F.exists(
+                    backward, lambda b: (i > b["after"]) & (i < b["before"]))))))
+
+    return _let(toks, lambda t: F.when(F.size(t) > 0, stretches(t)).otherwise(F.array().cast("array<boolean>")))
+
+
+def looked_up(docs: DataFrame, taxonomy: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              negation: bool = False) -> DataFrame:
+    """The index lookups of X1: one row per text position and alias length where an alias of that length begins
+    with its words: (_id, pos, spelt, neg, n_words, gram, canonicals)."""
+    lengths, grams = alias_index(taxonomy)
+    longest = lengths.agg(F.coalesce(F.max(F.array_max("lengths")), F.lit(1))).scalar()
+    t = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    if negation:
+        t = t.withColumn("_c", clause_tokens(F.col("_text"))).withColumn("_o", F.flatten("_c")).withColumn(
+            "_neg", F.flatten(F.transform("_c", lambda c: negated(F.transform(c, lambda x: F.lower(x))))))
+    else:
+        t = t.withColumn("_o", skill_tokens("_text"))
+    t = t.withColumn("_t", F.transform("_o", lambda x: F.lower(x))).withColumn("_n", longest)
+
+    def here(x, i):
+        return F.struct((i + 1).alias("pos"), x["_t"].alias("first"), F.slice("_t", i + 1, F.col("_n")).alias("words"),
+                        x["_o"].alias("spelt"), (x["_neg"] if negation else F.lit(False)).alias("neg"))
+
+    # zipped outside the lambda, so that no array is built again for each token
+    each = F.arrays_zip("_t", "_o", *["_neg"] * negation)
+    at = t.select("_id", F.inline(F.transform(each, here))).join(lengths, "first")
+    at = at.select("_id", "pos", "spelt", "neg", "words", F.explode("lengths").alias("n_words")).where(
+        F.col("n_words") <= F.size("words"))
+    return (at.withColumn("gram", F.array_join(F.slice("words", F.lit(1), F.col("n_words")), " ")).drop("words")
+            .join(grams, "gram"))
 
 
 def extract_skills(docs: DataFrame, taxonomy: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -38,35 +108,14 @@ def extract_skills(docs: DataFrame, taxonomy: DataFrame, id_col: str = "doc_id",
 
     ``strict_short``: aliases of one or two letters match only where the text spells them
     in upper or title case (C, R, Go), since they over-match in prose."""
-    aliases = alias_table(taxonomy)
-    longest = aliases.agg(F.coalesce(F.max("n_words"), F.lit(1))).scalar()
-    t = docs.select(F.col(id_col).alias("_id"), skill_tokens(text_col).alias("_o")).withColumn(
-        "_t", F.transform("_o", lambda x: F.lower(x))).withColumn("_n", longest)
-    toks = F.col("_t")
-
-    def at(x, i):
-        follows = F.slice(toks, i + 2, F.col("_n") - 1 + (len(NEG_FOLLOW) if negation else 0))
-        cells = [(i + 1).alias("pos"), x.alias("first"), F.array_join(follows, " ").alias("then")]
-        if strict_short:
-            cells.append(F.get("_o", i).alias("spelt"))
-        if negation:
-            start = F.greatest(i + 1 - NEG_WINDOW, F.lit(1))
-            cells.append(F.arrays_overlap(F.slice(toks, start, i + 1 - start),
-                                          F.array(*[F.lit(w) for w in NEGATION_WORDS])).alias("neg"))
-        return F.struct(*cells)
-
-    here = t.select("_id", F.inline(F.transform("_t", at)))
-    found = here.join(aliases, "first")
-    # the words that follow must begin with the rest of the alias, at a word's end
-    rest = F.concat(F.col("then"), F.lit(" "))
-    found = found.filter((F.col("more") == "") | rest.startswith(F.concat("more", F.lit(" "))))
+    found = looked_up(docs, taxonomy, id_col, text_col, negation)
     if strict_short:
-        short = (F.col("n_words") == 1) & F.col("first").rlike(r"^\p{L}{1,2}$")
-        found = found.filter(~short | F.col("spelt").isin(F.upper("first"), F.initcap("first")))
+        short = (F.col("n_words") == 1) & F.col("gram").rlike(r"^\p{L}{1,2}$")
+        found = found.filter(~short | F.col("spelt").isin(F.upper("gram"), F.initcap("gram")))
     if negation:
-        after = F.when(F.col("more") == "", rest).otherwise(F.substring(rest, F.length("more") + 2, F.length(rest)))
-        found = found.filter(~F.col("neg") & ~after.startswith(" ".join(NEG_FOLLOW) + " "))
-    return (found.groupBy(F.col("_id").alias(id_col), F.col("canonical").alias("skill"))
+        found = found.filter(~F.col("neg"))
+    found = found.select("_id", "pos", F.explode("canonicals").alias("skill"))
+    return (found.groupBy(F.col("_id").alias(id_col), "skill")
             .agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("n_matches")))
 
 

@@ -17,29 +17,46 @@ from hirelens.sources import fixtures as fx
 _MAXN = 2          # words of the longest alias of the fixture
 
 
-def _grams_sql(negation: bool) -> str:
+def _sql_list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _tokens_sql(negation: bool) -> str:
+    """doc_id, o: the tokens of a text, neg: whether each lies in a negated stretch."""
+    if not negation:
+        return f"SELECT doc_id, {fx.sql_tokens('text')} AS o, CAST(NULL AS BOOLEAN[]) AS neg FROM documents"
+    cue = f"list_filter(range(1, len(t) + 1), lambda i: list_contains({_sql_list(X.NEGATION_WORDS)}, t[i])"
+    need = _sql_list(X.NEED_WORDS)
+    other = _sql_list(X.NOT_NEGATED + X.NEED_WORDS)
+    return f"""
+  SELECT doc_id, flatten(list(o ORDER BY c)) AS o, flatten(list(neg ORDER BY c)) AS neg FROM (
+    SELECT doc_id, c, o, list_transform(range(1, len(t) + 1), lambda i: coalesce(i > list_min(f), false) OR len(list_filter(bk,
+             lambda k: i < k AND i > coalesce(list_max(list_filter(nd, lambda p: p < k)), 0))) > 0) AS neg
+    FROM (SELECT *, {cue} AND NOT coalesce(list_contains({other}, t[i + 1]), false)) AS f,
+                 {cue} AND coalesce(list_contains({need}, t[i + 1]), false)) AS bk,
+                 list_filter(range(1, len(t) + 1), lambda i: list_contains({need}, t[i])) AS nd
+          FROM (SELECT doc_id, c, {fx.sql_tokens('clause')} AS o, list_transform({fx.sql_tokens('clause')}, lambda x: lower(x)) AS t
+                FROM (SELECT doc_id, unnest(s) AS clause, unnest(range(len(s))) AS c
+                      FROM (SELECT doc_id, string_split_regex(regexp_replace(text, '{X.CONTRAST}', chr(10) || '\\1 ', 'gi'),
+                                                              '{X.CLAUSE_END}') AS s FROM documents))))) GROUP BY doc_id"""
+
+
+def _grams_sql() -> str:
     parts = []
     for n in range(1, _MAXN + 1):
         gram = " || ' ' || ".join(f"t[pos + {k}]" for k in range(n))
-        neg = "false"
-        if negation:
-            neg = (f"(list_has_any(t[greatest(pos - {X.NEG_WINDOW}, 1):pos - 1], "
-                   f"[{', '.join(repr(w) for w in X.NEGATION_WORDS)}]) "
-                   f"OR t[pos + {n}:pos + {n} + {len(X.NEG_FOLLOW) - 1}] = "
-                   f"[{', '.join(repr(w) for w in X.NEG_FOLLOW)}])")
-        parts.append(f"SELECT doc_id, pos, {gram} AS gram, o[pos] AS spelt, {neg} AS neg FROM "
-                     f"(SELECT doc_id, o, t, unnest(generate_series(1, len(t) - {n - 1})) AS pos FROM toks)")
+        parts.append(f"SELECT doc_id, pos, {gram} AS gram, o[pos] AS spelt, coalesce(neg[pos], false) AS neg FROM "
+                     f"(SELECT *, unnest(generate_series(1, len(t) - {n - 1})) AS pos FROM toks)")
     return " UNION ALL ".join(parts)
 
 
 def _extract_sql(negation: bool) -> str:
     return with_views("text_aliases", body=f"""
-, toks AS (SELECT doc_id, {fx.sql_tokens('text')} AS o, list_transform({fx.sql_tokens('text')}, lambda x: lower(x)) AS t FROM documents)
-, grams AS ({_grams_sql(negation)})
+, toks AS (SELECT doc_id, o, neg, list_transform(o, lambda x: lower(x)) AS t FROM ({_tokens_sql(negation)}))
+, grams AS ({_grams_sql()})
 SELECT g.doc_id, a.canonical AS skill, min(g.pos) AS first_pos, count(*) AS n_matches
 FROM grams g JOIN text_aliases a ON a.key = g.gram
-WHERE (NOT regexp_full_match(a.key, '\\p{{L}}{{1,2}}') OR g.spelt IN (upper(a.key), upper(a.key[1]) || a.key[2:]))
-{"AND NOT g.neg" if negation else ""}
+WHERE (NOT regexp_full_match(a.key, '\\p{{L}}{{1,2}}') OR g.spelt IN (upper(a.key), upper(a.key[1]) || a.key[2:])) AND NOT g.neg
 GROUP BY g.doc_id, a.canonical""")
 
 
@@ -52,7 +69,7 @@ def extract_skills(spark, sf):
 
 @register("extract_skills_negation", _extract_sql(True))
 def extract_skills_negation(spark, sf):
-    """As X1, skipping matches preceded by a negation cue or followed by "not required"."""
+    """As X1, skipping matches that begin in a negated stretch of their clause."""
     docs = fx.table(spark, sf, "documents").select("doc_id", "text")
     return X.extract_skills(docs, fx.text_aliases(spark, sf), negation=True, strict_short=True)
 
