@@ -129,3 +129,35 @@ def skill_tokens(c) -> Column:
     closing punctuation (C++, C#, CI/CD, Node.js, GPT-4 are tokens); whole text, no cap."""
     raw = F.regexp_extract_all(_col(c), F.lit(f"({TOKEN_PATTERN})"), F.lit(1))
     return F.filter(F.transform(raw, lambda x: F.regexp_replace(x, TOKEN_EDGES, "")), lambda x: x != "")
+
+
+def let(value, use) -> Column:
+    """``use`` of a value that is computed once, inside a lambda as well."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+# Escapes of a YAML double-quoted scalar that JSON lacks, as the JSON escape of the same character.
+_YAML_ONLY = {"0": "u0000", "a": "u0007", "e": "u001b", "v": "u000b", " ": "u0020", "N": "u0085", "_": "u00a0", "L": "u2028",
+              "P": "u2029"}
+_BEFORE = r"(?<!\\)((?:\\\\)*)\\"          # an escape begins: an odd backslash
+
+
+def yaml_scalar(c) -> Column:
+    """Value of a one-line YAML scalar: quotes taken off, escapes decoded, a comment behind it removed."""
+    t = F.trim(_col(c), F.lit(" \t\r"))
+    inner = F.regexp_extract(t, r'^"([^"\\]*+(?:\\.[^"\\]*+)*+)"\s*(?:#.*)?$', 1)
+    for name, code in _YAML_ONLY.items():
+        inner = F.regexp_replace(inner, _BEFORE + name, f"$1\\\\{code}")
+    inner = F.regexp_replace(inner, _BEFORE + "x([0-9A-Fa-f]{2})", r"$1\\u00$2")
+    double = F.get(F.from_json(F.concat(F.lit('["'), inner, F.lit('"]')), "array<string>", {"allowUnquotedControlChars": "true"}), F.lit(0))
+    single = F.replace(F.regexp_extract(t, r"^'((?:[^']|'')*+)'\s*(?:#.*)?$", 1), F.lit("''"), F.lit("'"))
+    plain = F.when(t.startswith("#"), "").otherwise(F.regexp_replace(t, r"[ \t]+#.*$", ""))
+    return F.when(t.startswith('"'), F.coalesce(double, t)).when(t.rlike(r"^'.*'\s*(#.*)?$"), single).otherwise(plain)
+
+
+def last_entries(m) -> Column:
+    """Entries (key, value) of a map that may hold a key more than once, as parsed JSON does: the last
+    one of each key."""
+    put = F.transform(F.map_entries(m), lambda e, i: F.struct(e["key"].alias("key"), (-i).alias("back"), e["value"].alias("value")))
+    # sorted by key and from the end: the first of each key is its last entry
+    return let(F.array_sort(put), lambda s: F.filter(s, lambda e, i: (i == 0) | (F.get(s, i - 1)["key"] != e["key"])))

@@ -35,12 +35,23 @@ def make_batches(df: DataFrame, order_cols, size: int, name: str = "batch") -> D
 
 
 def batch_payloads(batched: DataFrame, key: str, value: str, batch: str = "batch") -> DataFrame:
-    """Per batch, one JSON object ``{key: value}`` (keys sorted); batches are bounded."""
-    g = batched.groupBy(batch).agg(F.count(F.lit(1)).alias("n_items"),
-                                   F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value)))).alias("_m"))
+    """Per batch, one JSON object ``{key: value}`` (keys sorted); batches are bounded. Of rows that repeat a
+    key in a batch the one with the largest value counts; rows without a key are left out (see
+    ``payload_rejects``)."""
+    one = batched.where(F.col(key).isNotNull()).groupBy(batch, key).agg(F.max(value).alias(value))
+    g = one.groupBy(batch).agg(F.count(F.lit(1)).alias("n_items"),
+                               F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value)))).alias("_m"))
     return g.select(batch, "n_items", F.to_json("_m").alias("payload"))
 
 
+def payload_rejects(batched: DataFrame, key: str, batch: str = "batch") -> DataFrame:
+    """Per batch, the rows that are no entry of its payload: without a key, or repeating one."""
+    per = batched.groupBy(batch, key).agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy(batch).agg(
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("n_without_key"),
+        F.coalesce(F.sum(F.when(F.col(key).isNotNull(), F.col("n") - 1)), F.lit(0)).alias("n_repeated"))
+
+
 def pending_batches(batched: DataFrame, done_ids: DataFrame, key: str, batch: str = "batch") -> DataFrame:
     """A batch is pending unless ALL its ids are done."""
     done = done_ids.select(F.col(key)).distinct().withColumn("_done", F.lit(True))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hirelens.functions.text import last_entries, yaml_scalar
 from hirelens.session import ensure_checkpoint_dir
 
 EXTRACTIONS_TYPE = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
@@ -95,10 +96,11 @@ def describe_schema(df: DataFrame) -> list[tuple[int, str, str]]:
 # ---- S8: raw extractions as JSON objects ---------------------------------------
 def write_extractions_json(long_df: DataFrame, path: str, batch_col: str = "batch") -> None:
     """S8 sink: one JSON object ``{posting_id: [terms...]}`` per line per batch
-    (JSON Lines of objects, splittable, instead of one file-sized object)."""
+    (JSON Lines of objects, splittable, instead of one file-sized object). Rows without an
+    id can have no key and are left out."""
     per_posting = long_df.groupBy(batch_col, "posting_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "term"))), lambda x: x["term"]).alias("terms"))
-    per_batch = per_posting.groupBy(batch_col).agg(
+    per_batch = per_posting.where(F.col("posting_id").isNotNull()).groupBy(batch_col).agg(
         F.map_from_entries(F.collect_list(F.struct("posting_id", "terms"))).alias("m"))
     per_batch.select(F.to_json("m").alias("value")).write.mode("overwrite").text(path)
 
@@ -106,10 +108,10 @@ def write_extractions_json(long_df: DataFrame, path: str, batch_col: str = "batc
 def read_extractions_json(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     """S8 source: JSON object(s) ``posting_id -> [term]`` to the long table
     ``(posting_id, pos, term)`` with 1-based positions; an empty list keeps the
-    posting with a null term."""
+    posting with a null term; of equal ids in one object the last one counts."""
     txt = spark.read.text(path, wholetext=whole_file)
     m = txt.select(F.from_json("value", EXTRACTIONS_TYPE).alias("m")).filter(F.col("m").isNotNull())
-    kv = m.select(F.explode("m").alias("posting_id", "terms"))
+    kv = m.select(F.explode(last_entries("m")).alias("e")).select(F.col("e.key").alias("posting_id"), F.col("e.value").alias("terms"))
     return kv.select("posting_id", F.posexplode_outer("terms").alias("pos", "term")).select(
         "posting_id", (F.col("pos") + 1).cast("int").alias("pos"), "term")
 
@@ -148,13 +150,12 @@ def read_dictionary_yaml(spark: SparkSession, path: str) -> DataFrame:
     first_file = F.col("_file") == files.agg(F.min("_file")).scalar()
     lines = lines.withColumn("_hdr_end", F.when(first_file, blank))
     lines = lines.filter(F.col("_hdr_end").isNull() | (F.col("ln") > F.col("_hdr_end")))
-    is_key = F.col("line").rlike(r"^\S.*:\s*$")
-    unq = lambda c: F.regexp_replace(F.regexp_replace(c, r'^"(.*)"$', "$1"), r'\\"', '"')
-    lines = lines.withColumn("_key", F.when(is_key, unq(F.regexp_extract("line", r"^(.*):\s*$", 1))))
+    is_key = F.col("line").rlike(r"(?s)^[^\s#].*:\s*$")
+    lines = lines.withColumn("_key", F.when(is_key, yaml_scalar(F.regexp_extract("line", r"(?s)^(.*):\s*$", 1))))
     w = Window.partitionBy("_file").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
     lines = lines.withColumn("canonical", F.last("_key", ignorenulls=True).over(w))
     items = lines.filter(F.col("line").rlike(r"^\s+-\s")).select(
-        "_file", "ln", "canonical", unq(F.regexp_replace("line", r"^\s+-\s+", "")).alias("alias"))
+        "_file", "ln", "canonical", yaml_scalar(F.regexp_replace("line", r"^\s+-\s+", "")).alias("alias"))
     return consecutive_ids(items, "_file", "ln", "seq", start=1).select("canonical", "alias", "seq")
 
 
