@@ -408,3 +408,34 @@ def anchor_dates(spark, sf):
     t = raw.select(F.concat("source", F.lit(":"), F.col("native_id").cast("string")).alias("posting_id"),
                    dates.anchor_date("2020-01-01").alias("date"))
     return finalise(t, "board_a").select("posting_id", "date", "year", "quarter")
+
+
+# ---- P2 / P3 over responses that grow with the tables ------------------------------------------
+@register("parse_yaml_extractions", with_views("clean", "extractions", body=f"""
+SELECT b.batch AS response_id, e.posting_id AS key, e.term AS item
+FROM extractions e JOIN (SELECT posting_id, CAST((row_number() OVER (ORDER BY posting_id) - 1) // {BATCH} AS BIGINT)
+                                AS batch FROM clean) b ON b.posting_id = e.posting_id"""))
+def parse_yaml_extractions(spark, sf):
+    """One YAML response per batch of postings (quoted keys and terms with escapes, comments, a
+    scalar note, fences on every other response) parsed back."""
+    e = fx.extractions(spark, sf).join(_batched(spark, sf).select("posting_id", "batch"), "posting_id")
+    item = F.concat(F.lit("  - "), IO.yaml_string("term"), F.lit(" # seen"))
+    per = e.groupBy("batch", "posting_id").agg(F.concat(
+        IO.yaml_string("posting_id"), F.lit(":\n"), F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("pos", item.alias("i")))), lambda x: x["i"]), "\n")).alias("block"))
+    doc = per.groupBy("batch").agg(F.array_join(F.array_sort(F.collect_list("block")), "\n").alias("body"))
+    body = F.concat(F.lit("# terms by posting\n"), F.col("body"), F.lit("\nnote: reviewed"))
+    text = F.when(F.col("batch") % 2 == 0, F.concat(F.lit("```yaml\n"), body, F.lit("\n```"))).otherwise(body)
+    return P.parse_yaml_responses(doc.select(F.col("batch").alias("response_id"), text.alias("text")))
+
+
+@register("parse_csv_postings", with_views("clean", body=f"""
+SELECT CAST((row_number() OVER (ORDER BY posting_id) - 1) // {BATCH} AS BIGINT) AS response_id, posting_id AS canonical_name,
+       canonical_title || chr(10) || '"' || source || '"' AS category, coalesce(company, '') AS platform_family FROM clean"""))
+def parse_csv_postings(spark, sf):
+    """One CSV response per batch of postings, with line feeds and quotes inside quoted fields, parsed back."""
+    b = _batched(spark, sf).select("posting_id", "batch", "canonical_title", "source", "company")
+    line = F.concat(F.lit('"'), "posting_id", F.lit('","'), "canonical_title", F.lit('\n""'), "source", F.lit('""","'),
+                    F.replace(F.coalesce("company", F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    doc = b.groupBy("batch").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body"))
+    return P.parse_csv_responses(doc.select(F.col("batch").alias("response_id"), F.concat("body", F.lit("\noops")).alias("text")))

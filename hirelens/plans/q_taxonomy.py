@@ -255,12 +255,19 @@ _FALLBACK_CASE = "CASE category " + " ".join(
     "FROM unnest(string_split(category, '_')) t(w)) END"
 
 
+def _slots_file(spark, sf) -> str:
+    """The slot table written as a CSV file in file order."""
+    path = IO.scratch_path(spark, "slots_csv")
+    IO.write_csv(fx.named_slots(spark, sf).orderBy("seq", "slot", "category", "pattern").select("category", "slot", "pattern"), path)
+    return path
+
+
 @register("subcategory", with_views("categories", "named_slots", body=f"""
 SELECT c.canonical_name, c.category, c.platform_family, coalesce(s.slot, {_FALLBACK_CASE.replace('category', 'c.category')}) AS subcategory
 FROM categories c LEFT JOIN named_slots s ON s.category = c.category AND s.pattern = lower(trim(c.canonical_name))"""))
 def subcategory(spark, sf):
     """Named slot or category fallback."""
-    return TX.subcategory(fx.categories(spark, sf), fx.named_slots(spark))
+    return TX.subcategory(fx.categories(spark, sf), IO.read_slots(spark, _slots_file(spark, sf)))
 
 
 @register("category_join", with_views("skills", "categories", body="""
@@ -291,7 +298,7 @@ def category_distribution(spark, sf):
     cats = fx.categories(spark, sf)
     full = canon.join(cats, "canonical_name", "left").withColumn(
         "category", F.coalesce("category", F.lit(TX.UNCLASSIFIED)))
-    sub = TX.subcategory(full, fx.named_slots(spark))
+    sub = TX.subcategory(full, IO.read_slots(spark, _slots_file(spark, sf)))
     a = sub.groupBy(F.lit("category").alias("level"), F.col("category").alias("name")).agg(F.count(F.lit(1)).alias("n"))
     named = sub.filter(~F.col("subcategory").startswith("Other ") & (F.col("subcategory") != "Unclassified"))
     b = named.groupBy(F.lit("subcategory").alias("level"), F.col("subcategory").alias("name")).agg(
@@ -346,7 +353,7 @@ SELECT c.canonical_name, c.category, coalesce(s.slot, {_FALLBACK_CASE.replace('c
 FROM categories c LEFT JOIN named_slots s ON s.category = c.category AND s.pattern = lower(trim(c.canonical_name))"""))
 def categories_sorted(spark, sf):
     """4-column category CSV written sorted by lower(name), read back."""
-    sub = TX.subcategory(fx.categories(spark, sf), fx.named_slots(spark))
+    sub = TX.subcategory(fx.categories(spark, sf), IO.read_slots(spark, _slots_file(spark, sf)))
     out = sub.select("canonical_name", "category", "subcategory", "platform_family").orderBy(
         F.lower("canonical_name"), "canonical_name")
     path = IO.scratch_path(spark, "categories_csv")

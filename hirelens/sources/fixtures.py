@@ -54,7 +54,8 @@ NOUN_CATEGORY = [
     ("anvil", "analytics_bi"),
 ]
 PLATFORM_PREFIX, PLATFORM_FAMILY = "hot ", "HotSuite"
-NAMED_SLOTS = [("language", "Ring", "ring"), ("genai", "Gizmo", "gizmo"), ("genai", "Gizmo", "small gizmo")]
+NAMED_SLOTS = [("language", "Ring", "ring"), ("genai", "Gizmo", "gizmo"), ("genai", "Gizmo", "small gizmo"),
+               ("genai", "Later Gizmo", "gizmo")]          # a pattern in two slots: the first in file order counts
 TEXT_ALIASES = ["the", "of the", "that", "que", "der", "la", "C", "C++", "C#", "S3", "D3", "CI/CD", "Node.js", "GPT-4"]
 # ---------------------------------------------------------------------------
 
@@ -141,8 +142,15 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.filter(F.col("category").isNotNull())
 
 
-def named_slots(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(NAMED_SLOTS, "category string, slot string, pattern string")
+def named_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T18 slots ``(category, slot, pattern)`` in file order: the fixed ones, then for every part type a slot of
+    each category that has the type's part names as patterns; a name of several types is in several slots."""
+    fixed = spark.createDataFrame([(i, *x) for i, x in enumerate(NAMED_SLOTS)], "seq long, category string, slot string, pattern string")
+    cats = F.explode(F.array(*[F.lit(c) for _, c in NOUN_CATEGORY])).alias("category")
+    own = table(spark, sf_dir, "part").select(cats, F.initcap("p_type").alias("slot"), F.lower(F.trim("p_name")).alias("pattern"))
+    own = own.distinct().withColumn("seq", F.lit(len(NAMED_SLOTS)).cast("long"))
+    # the fixed slots stand first; the others follow by name
+    return fixed.unionByName(own)
 
 
 def text_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,8 +238,15 @@ categories AS (
   ) WHERE category IS NOT NULL
 )"""
 
-SQL_NAMED_SLOTS = "named_slots(category, slot, pattern) AS (VALUES " + ", ".join(
-    f"({_sql_str(c)}, {_sql_str(s)}, {_sql_str(p)})" for c, s, p in NAMED_SLOTS) + ")"
+SQL_NAMED_SLOTS = f"""fx_slots(seq, category, slot, pattern) AS (VALUES {", ".join(
+    f"({i}, {_sql_str(c)}, {_sql_str(s)}, {_sql_str(p)})" for i, (c, s, p) in enumerate(NAMED_SLOTS))}),
+named_slots AS (
+  SELECT category, pattern, arg_min(slot, lpad(CAST(seq AS VARCHAR), 9, '0') || slot) AS slot FROM (
+    SELECT * FROM fx_slots
+    UNION SELECT {len(NAMED_SLOTS)}, category, array_to_string(list_transform(string_split(lower(p_type), ' '),
+                 lambda w: upper(w[1]) || w[2:]), ' '), lower(trim(p_name))
+    FROM part, (SELECT unnest([{", ".join(_sql_str(c) for _, c in NOUN_CATEGORY)}]) AS category))
+  GROUP BY category, pattern)"""
 
 _edges = TOKEN_EDGES.replace("'", "''")
 _token = TOKEN_PATTERN.replace("'", "''")

@@ -117,7 +117,7 @@ def read_extractions_json(spark: SparkSession, path: str, whole_file: bool = Fal
 
 
 # ---- S9/S10: skill dictionary as YAML text -----------------------------------
-def _yaml_str(c):
+def yaml_string(c):
     j = F.to_json(F.array(c))          # ["text"] -> "text" (JSON string = YAML double-quoted scalar)
     return j.substr(F.lit(2), F.length(j) - 2)
 
@@ -130,9 +130,9 @@ def write_dictionary_yaml(dictionary: DataFrame, path: str, header: str = "# ski
     key = F.concat(F.lower("canonical"), F.lit("\u0000"), F.col("canonical"))
     keys = dictionary.select(key.alias("_k"), "canonical").distinct()
     key_lines = keys.select("_k", F.lit(-1).cast("long").alias("_o"),
-                            F.concat(_yaml_str(F.col("canonical")), F.lit(":")).alias("value"))
+                            F.concat(yaml_string(F.col("canonical")), F.lit(":")).alias("value"))
     alias_lines = dictionary.select(key.alias("_k"), F.col("seq").cast("long").alias("_o"),
-                                    F.concat(F.lit("  - "), _yaml_str(F.col("alias"))).alias("value"))
+                                    F.concat(F.lit("  - "), yaml_string(F.col("alias"))).alias("value"))
     head = dictionary.sparkSession.createDataFrame(
         [("", i, ln) for i, ln in enumerate(header.split("\n") + [""])], "_k string, _o long, value string")
     lines = head.unionByName(key_lines).unionByName(alias_lines)
@@ -164,6 +164,18 @@ CATEGORY_SCHEMA = "canonical_name string, category string, subcategory string, p
 TAXONOMY_SCHEMA = "canonical_name string, aliases string, category string, introduced int"
 
 
+def read_slots(spark: SparkSession, path: str) -> DataFrame:
+    """T18 slot table from CSV ``category, slot, pattern``: (seq, category, slot, pattern) with seq =
+    order in the files."""
+    rows = read_csv(spark, path, "category string, slot string, pattern string")
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
+    # ids rise along a file; files are ordered by name
+    first = rows.groupBy("_file").agg(F.min("_at").alias("_min"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return (rows.join(first.select("_file", "_min", before.alias("_off")), "_file")
+            .select((F.col("_off") + F.col("_at") - F.col("_min")).alias("seq"), "category", "slot", "pattern"))
+
+
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     """One row per alias from ``canonical_name, aliases (a|b|c), category, introduced``."""
     t = read_csv(spark, path, TAXONOMY_SCHEMA)

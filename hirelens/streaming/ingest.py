@@ -34,7 +34,7 @@ def ingest_new(spark: SparkSession, feed_dir: str, schema, target: str, checkpoi
         if _exists(batch.sparkSession, target):
             seen = batch.sparkSession.read.parquet(target)
             dates = batch.select("date").distinct()       # dynamic partition pruning on the target's folders
-            out = out.join(seen.join(F.broadcast(dates), "date", "left_semi").select(key), key, "left_anti")
+            out = out.join(seen.join(dates, "date", "left_semi").select(key), key, "left_anti")
         out.write.mode("append").partitionBy("date", "source").parquet(target)
 
     q = (stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
@@ -45,13 +45,15 @@ def ingest_new(spark: SparkSession, feed_dir: str, schema, target: str, checkpoi
 # ---- W6 ------------------------------------------------------------------------------
 def dedup_stream_run(spark: SparkSession, feed_dir: str, schema, target: str, checkpoint: str,
                      state_dir: str, window_days: int = WINDOW_DAYS) -> None:
-    """The 30-day chained flag over newly arrived files (drops arrive in date order).
+    """The 30-day chained flag over newly arrived files.
 
     The state that later drops need is one row per (company, title): its last day. Each
     micro-batch flags its rows like the batch operator, over the table of distinct days per
     key with the state's day as the one before; a day's first posting is compared with the
     day before, every other one is a duplicate. So no group of rows is gathered anywhere, and
-    rows without a company never enter a group. A new version of the state is written per epoch;
+    rows without a company never enter a group. The chain runs forward in time: a row dated before the last
+    day that earlier epochs hold for its key is late; it goes to ``<target>_late`` (posting_id, date, last_date)
+    instead of being flagged, and leaves the state as it is. A new version of the state is written per epoch;
     a repeated epoch reads the version before its own and overwrites its own output."""
     stream = spark.readStream.schema(schema).option("basePath", feed_dir).parquet(feed_dir)
     keys = ["company", "canonical_title"]
@@ -61,13 +63,16 @@ def dedup_stream_run(spark: SparkSession, feed_dir: str, schema, target: str, ch
         before = f"{state_dir}/v={epoch_id - 1}"
         rows = batch.select("posting_id", *keys, "date")
         valid = F.col("company").isNotNull() & F.col("canonical_title").isNotNull() & F.col("date").isNotNull()
-        days = rows.filter(valid).groupBy(*keys, "date").agg(F.min("posting_id").alias("_first"))
         last = "company string, canonical_title string, last_date date"
         state = (session.read.schema(last).parquet(before) if _exists(session, before)
                  else session.createDataFrame([], last))
+        days = rows.filter(valid).groupBy(*keys, "date").agg(F.min("posting_id").alias("_first")).join(state, keys, "left")
+        passed = F.coalesce(F.col("date") < F.col("last_date"), F.lit(False))
+        late = rows.join(days.where(passed).select(*keys, "date", "last_date"), [*keys, "date"])
+        late.select("posting_id", "date", "last_date").write.mode("overwrite").parquet(f"{target}_late/epoch={epoch_id}")
+        rows = rows.join(days.where(passed).select(*keys, "date"), [*keys, "date"], "left_anti")
         w = Window.partitionBy(*keys).orderBy("date")
-        days = days.join(state, keys, "left").withColumn(
-            "_prev", F.coalesce(F.lag("date").over(w), F.col("last_date")))
+        days = days.where(~passed).withColumn("_prev", F.coalesce(F.lag("date").over(w), F.col("last_date")))
         flagged = rows.join(days.select(*keys, "date", "_first", "_prev"), [*keys, "date"], "left")
         dup = (F.when(~valid, F.lit(False)).when(F.col("posting_id") != F.col("_first"), F.lit(True))
                .otherwise(F.coalesce(F.datediff("date", "_prev") <= window_days, F.lit(False))))
