@@ -177,14 +177,16 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, whole_chars:
     cut = written(_cut(docs, tokenizer, whole_chars, chunk_chars, overlap), "token-units")
     units = cut.where(F.col("uid").isNotNull())
     first = units.select("uid", F.col("unit").alias("a"), (F.col("unit") + 1).alias("b"), "last", "body", "ahead")
-    done = written(_joined(_encode(first.repartition("uid", "a"), tokenizer, overlap)), "token-pieces")
+    # both sides of a junction read the encoded pieces, so they are written first
+    done = written(_joined(written(_encode(first.repartition("uid", "a"), tokenizer, overlap), "token-encoded")), "token-pieces")
     wide = overlap
     while not done.where("open").isEmpty():
         wide = min(4 * wide, chunk_chars)
         runs = written(_runs(done), "token-runs")
         gone = runs.select("uid", F.explode(F.sequence(F.col("a"), F.col("b") - 1)).alias("a"))
         again = _encode(_texts(runs, units, wide), tokenizer, wide)
-        done = written(_joined(done.drop("cut", "open").join(gone, ["uid", "a"], "left_anti").unionByName(again)), "token-pieces")
+        kept = done.drop("cut", "open").join(gone, ["uid", "a"], "left_anti")
+        done = written(_joined(written(kept.unionByName(again), "token-encoded")), "token-pieces")
     spliced = done.groupBy("uid").agg(
         F.sum(F.when(F.col("last"), F.col("total")).otherwise(F.col("cut.mine") - F.col("cut.theirs"))).alias("n_tokens"))
     huge = units.where(F.col("unit") == 0).select("uid", "doc_id", "n_bytes").join(spliced, "uid").drop("uid")
