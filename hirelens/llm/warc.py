@@ -7,7 +7,8 @@ archives of a new name (a new one past ``max_bytes``); finished ones are in a ma
 
 Reading: an archive is read in steps of 64 KB through an incremental decompressor, records
 are framed by Content-Length, and the block and payload digests are verified while the
-bytes pass. An error names the archive and the record.
+bytes pass. An error names the archive and the record. Archives of other writers may hold records of other types
+(passed over), lack digests or use other ids.
 
 Nulls, ties, edges: a null html is an empty payload; a null url leaves out the target URI; a
 null page_id refers to others but is never referred to; rows that repeat a page_id and its
@@ -160,16 +161,28 @@ class _Stream:
 
 
 def _fields(head: bytes) -> dict[str, str]:
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode().split("\r\n")[1:])}
+    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n")[1:])}
 
 
 def _page(uri: str | None) -> int | None:
+    """The page of an id that this module wrote; None for any other."""
     number = (uri or "").strip("<>").removeprefix(_ID)
-    return int(number) if number else None
+    return int(number) if (uri or "").strip("<>").startswith(_ID) and number else None
+
+
+def _sha1(value: str | None) -> str | None:
+    """Hex form of a SHA-1 digest given in base 32 or hex; None if there is none or of another kind."""
+    kind, _, text = (value or "").partition(":")
+    if kind.strip().lower().replace("-", "") != "sha1":
+        return None
+    text = text.strip()
+    return text.lower() if len(text) == 40 else base64.b32decode(text.upper()).hex()
 
 
 def records(f, with_payload: bool = False):
-    """Records of an open archive, in order; ValueError at the first that doesn't verify."""
+    """Responses, revisits and resources of an open archive, in order; ValueError at the first record that
+    doesn't verify. Records of other types are verified and passed over. Digests are checked where a
+    record has SHA-1 ones; the payload's only where no transfer coding changes its bytes."""
     s, k = _Stream(f), 0
     while s.next_member():
         try:
@@ -177,9 +190,10 @@ def records(f, with_payload: bool = False):
             if not head.startswith(b"WARC/1."):
                 raise ValueError("no WARC header")
             h = _fields(head)
-            left = int(h["content-length"])
+            kind, left = h["warc-type"].lower(), int(h["content-length"])
             block, payload, kept, http, n = hashlib.sha1(), hashlib.sha1(), [], b"", 0
-            inside = False                             # past the HTTP header
+            # other blocks than HTTP messages are payload as they stand
+            inside = not h.get("content-type", "").lower().startswith("application/http")
             for piece in s.take(left):
                 block.update(piece)
                 if not inside:
@@ -191,38 +205,42 @@ def records(f, with_payload: bool = False):
                     http = http[:at]
                 payload.update(piece)
                 n += len(piece)
-                if with_payload:
+                if with_payload and kind in ("response", "resource"):
                     kept.append(piece)
             after = s.until(b"\r\n\r\n")
             while s.more():
                 pass
             if after or s.buf:
                 raise ValueError("block is not followed by the record's end")
-            if h["warc-block-digest"] != f"sha1:{_b32(block.hexdigest())}":
+            if _sha1(h.get("warc-block-digest")) not in (None, block.hexdigest()):
                 raise ValueError("block digest differs")
-            full = h["warc-payload-digest"].removeprefix("sha1:")
-            length = int(_fields(http)["content-length"])
-            if h["warc-type"] == "response" and (full != _b32(payload.hexdigest()) or length != n):
+            full, message = _sha1(h.get("warc-payload-digest")), _fields(http)
+            length = n
+            if message.get("content-length", "").isdecimal():
+                length = int(message["content-length"])
+            whole = kind in ("response", "resource")
+            if whole and "transfer-encoding" not in message and (full not in (None, payload.hexdigest()) or length != n):
                 raise ValueError("payload digest or length differs")
-            yield {"page_id": _page(h["warc-record-id"]), "url": h.get("warc-target-uri"),
-                   "payload_bytes": length, "payload_digest": base64.b32decode(full).hex(),
-                   "record_type": h["warc-type"], "refers_to": _page(h.get("warc-refers-to")),
-                   **({"payload": b"".join(kept) if h["warc-type"] == "response" else None} if with_payload else {})}
+            if whole:
+                full, length = full or payload.hexdigest(), n
+            if whole or kind == "revisit":
+                yield {"page_id": _page(h["warc-record-id"]), "url": h.get("warc-target-uri"),
+                       "payload_bytes": length, "payload_digest": full,
+                       "record_type": kind, "refers_to": _page(h.get("warc-refers-to")),
+                       "record_id": h["warc-record-id"].strip("<>"), "refers_to_id": (h.get("warc-refers-to") or "").strip("<>") or None,
+                       **({"payload": b"".join(kept) if whole else None} if with_payload else {})}
         except (ValueError, KeyError, zlib.error) as e:
             raise ValueError(f"record {k}: {e}") from e
         k += 1
 
 
-def read_archives(spark: SparkSession, out_dir: str, with_payload: bool = True) -> DataFrame:
-    """Every record of the archives in the manifest: page_id, url, payload_bytes,
-    payload_digest (hex SHA-1), record_type, refers_to and, if asked for, payload."""
-    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-    schema = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
-              "refers_to long" + (", payload binary" if with_payload else ""))
-    if with_payload:
-        names, types = [*names, "payload"], [*types, pa.binary()]
+_COLUMNS = {"page_id": (pa.int64(), "long"), "url": (pa.string(), "string"), "payload_bytes": (pa.int64(), "long"),
+            "payload_digest": (pa.string(), "string"), "record_type": (pa.string(), "string"), "refers_to": (pa.int64(), "long"),
+            "record_id": (pa.string(), "string"), "refers_to_id": (pa.string(), "string"), "payload": (pa.binary(), "binary")}
+
 
+def _read(archives: DataFrame, names: list[str]) -> DataFrame:
+    """The named columns of every record of ``archives`` (archive: path or URI); one task streams an archive."""
     def read(batches):
         for b in batches:
             for path in b.column("archive").to_pylist():
@@ -230,19 +248,32 @@ def read_archives(spark: SparkSession, out_dir: str, with_payload: bool = True)
                 with fs.open_input_stream(p, compression=None) as f:
                     rows, held = [], 0
                     try:
-                        for r in records(f, with_payload):
+                        for r in records(f, "payload" in names):
                             rows.append(r)
                             held += 300 + len(r.get("payload") or b"")
                             if held > 1 << 22:
-                                yield batch(rows, names, types)
+                                yield batch(rows)
                                 rows, held = [], 0
                     except ValueError as e:
                         raise ValueError(f"{path}: {e}") from e
                     if rows:
-                        yield batch(rows, names, types)
+                        yield batch(rows)
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], _COLUMNS[c][0]) for c in names], names)
 
-    def batch(rows, names, types):
-        return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in zip(names, types)], names)
+    schema = ", ".join(f"{c} {_COLUMNS[c][1]}" for c in names)
+    return archives.repartition(max(1, 2 * archives.count()), "archive").mapInArrow(read, schema)
 
+
+def read_archives(spark: SparkSession, out_dir: str, with_payload: bool = True) -> DataFrame:
+    """Every record of the archives in the manifest: page_id, url, payload_bytes,
+    payload_digest (hex SHA-1), record_type, refers_to and, if asked for, payload."""
     m = spark.read.schema(_MANIFEST).parquet(f"{out_dir}/manifest").select("archive")
-    return m.repartition(max(1, 2 * m.count()), "archive").mapInArrow(read, schema)
+    return _read(m, ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"] + ["payload"] * with_payload)
+
+
+def read_files(archives: DataFrame, with_payload: bool = True) -> DataFrame:
+    """Responses, revisits and resources of archives of any origin (a column ``archive`` of paths or URIs):
+    as read_archives, page ids being null where another writer gave the ids, with record_id and refers_to_id."""
+    return _read(archives.select("archive"), [c for c in _COLUMNS if with_payload or c != "payload"])

@@ -58,3 +58,34 @@ def test_members_are_plain_gzip_and_tampering_is_noticed():
 
 def test_empty(spark):
     assert warc.read_archives(spark, warc.write_archives(spark.createDataFrame([], SCHEMA))).collect() == []
+
+
+def foreign(kind, block, *head, content="application/http; msgtype=response"):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1b2c>", "WARC-Date: 2020-01-01T00:00:00Z", *head,
+             f"Content-Type: {content}", f"Content-Length: {len(block)}"]
+    return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\nbody"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n4\r\nbody\r\n0\r\n\r\n"
+    sha1 = hashlib.sha1(b"body").hexdigest()
+    data = b"".join([
+        foreign("warcinfo", b"software: y\r\n", content="application/warc-fields"),
+        foreign("request", b"GET / HTTP/1.1\r\n\r\n", content="application/http; msgtype=request"),
+        foreign("response", http, "WARC-Target-URI: http://a"),
+        foreign("response", http, f"WARC-Payload-Digest: SHA1:{sha1}", "WARC-Block-Digest: sha256:00"),
+        foreign("response", chunked, f"WARC-Payload-Digest: sha1:{sha1}"),
+        foreign("revisit", b"HTTP/1.1 200 OK\r\n\r\n", "WARC-Refers-To: <urn:uuid:ffff>"),
+        foreign("resource", b"plain", content="text/plain")])
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    df = spark.createDataFrame([(str(tmp_path / "a.warc.gz"),)], "archive string")
+    got = [(r.record_type, r.page_id, r.payload_bytes, r.payload_digest, r.refers_to_id, r.payload and bytes(r.payload))
+           for r in warc.read_files(df).collect()]
+    assert got == [("response", None, 4, sha1, None, b"body"), ("response", None, 4, sha1, None, b"body"),
+                   ("response", None, 14, sha1, None, chunked.split(b"\r\n\r\n", 1)[1]), ("revisit", None, 0, None, "urn:uuid:ffff", None),
+                   ("resource", None, 5, hashlib.sha1(b"plain").hexdigest(), None, b"plain")]
+    assert warc.read_files(df, with_payload=False).columns[-1] == "refers_to_id"
+    bad = foreign("response", http, f"WARC-Payload-Digest: sha1:{'0' * 40}")
+    with pytest.raises(ValueError, match="payload digest"):
+        list(warc.records(io.BytesIO(bad)))
