@@ -24,21 +24,21 @@ sorted, normalised indel similarity x 100), never a cross join:
   in an Arrow-batched pandas UDF.
 
 C2 reproduces greedy star clustering: representatives are the
-lexicographically-first maximal independent set in the name order (computed in
-distributed rounds over the pair graph, each round checkpointed to the shared
-folder), and every other name joins its smallest adjacent representative.
+lexicographically-first maximal independent set in the name order (one task for a
+small pair graph, else rounds of pointer doubling and bounded prefixes, each written
+to the shared folder), and every other name joins its smallest adjacent representative.
 """
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
 from hirelens.functions.rules import unicode_trim
-from hirelens.operators.graph import components
-from hirelens.session import cut_lineage
+from hirelens.session import cut_lineage, written
 
 # The collision threshold and the audited lower band edge.
 COLLISION_THRESHOLD = 92.0
@@ -279,76 +279,98 @@ def fuzzy_band(names: DataFrame, lower: float = BAND_LOWER, upper: float = COLLI
     return p.filter(F.col("score") < upper)
 
 
-def _greedy_component(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One component of the pair graph, names in order: a name joins its earliest adjacent
-    representative, or becomes one."""
-    near: dict[str, list] = {}
-    for u, v, o in zip(pdf["u"], pdf["v"], pdf["ord_u"]):
-        near.setdefault(v, []).append((o, u))
-    order = sorted((o, v) for v, o in dict(zip(pdf["v"], pdf["ord_v"])).items())
-    rep: dict[str, str] = {}
-    reps: set[str] = set()
-    for _, v in order:
-        if not any(u in reps for _, u in near[v]):
-            reps.add(v)
-    for _, v in order:
-        rep[v] = v if v in reps else min(x for x in near[v] if x[1] in reps)[1]
-    return pd.DataFrame({"name": list(rep), "rep": list(rep.values()), "is_rep": [v in reps for v in rep]})
-
-
-def _greedy_rounds(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """The same by rounds over the edges, for components too large for one task: an undecided
-    name becomes a representative when all its earlier neighbours are dropped; it is dropped
-    when a neighbour is a representative. Runs until every name is decided."""
-    status = cut_lineage(nodes.select("name", "ord", F.lit("undecided").alias("st")))
-    left = status.count()
-    while left:
-        st_u = status.select(F.col("name").alias("u"), F.col("st").alias("st_u"))
-        nb = edges.join(st_u, "u").groupBy("v").agg(
-            F.max((F.col("st_u") == "rep").cast("int")).alias("has_rep"),
-            F.max(((F.col("ord_u") < F.col("ord_v")) & (F.col("st_u") != "dropped")).cast("int")).alias("blocked"))
-        s = status.join(nb.withColumnRenamed("v", "name"), "name", "left")
-        new_st = (F.when(F.col("st") != "undecided", F.col("st"))
-                  .when(F.coalesce("has_rep", F.lit(0)) == 1, F.lit("dropped"))
-                  .when(F.coalesce("blocked", F.lit(0)) == 0, F.lit("rep"))
-                  .otherwise(F.lit("undecided")))
-        status = cut_lineage(s.select("name", "ord", new_st.alias("st")))
-        before, left = left, status.filter(F.col("st") == "undecided").count()
-        if left == before:
-            raise RuntimeError(f"greedy_clusters: {left} names stay undecided (is the order total?)")
-    reps = status.filter(F.col("st") == "rep").select(F.col("name").alias("u"), F.col("ord").alias("rep_ord"))
-    best = (edges.join(reps, "u").groupBy("v")
-            .agg(F.min_by("u", "rep_ord").alias("rep")).withColumnRenamed("v", "name"))
-    is_rep = F.col("st") == "rep"
-    return status.join(best, "name", "left").select(
-        "name", F.when(is_rep, F.col("name")).otherwise(F.col("rep")).alias("rep"), is_rep.alias("is_rep"))
+def _prefix_reps(edges: DataFrame, task_edges: int) -> DataFrame:
+    """Representatives among the names of the first ``task_edges`` edges (u earlier than v) in the order
+    of v, decided in one task, name by name. A last name whose edges may be cut off stays open."""
+    def decide(batches):
+        dropped: set[str] = set()
+        names: dict[str, None] = {}
+        rows, last, hit = 0, None, False
+        for b in batches:
+            rows += b.num_rows
+            for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if v != last:
+                    if hit:
+                        dropped.add(last)
+                    last, hit = v, False
+                hit = hit or u not in dropped
+                names[u] = names[v] = None
+        if hit:
+            dropped.add(last)
+        if rows >= task_edges:
+            dropped.add(last)
+        yield pa.RecordBatch.from_arrays([pa.array([x for x in names if x not in dropped], pa.string())], ["name"])
+
+    first = edges.orderBy("ord_v", "v").limit(task_edges).coalesce(1).sortWithinPartitions("ord_v", "v")
+    return first.select("u", "v").mapInArrow(decide, "name string")
+
+
+def _chain_reps(edges: DataFrame) -> DataFrame:
+    """Representatives that follow from names without an earlier neighbour: those names, and every
+    name at an even distance from one along names with a single earlier neighbour. The distance is
+    found by pointer doubling, so a chain of n names takes log2(n) steps."""
+    earlier = written(edges.groupBy("v").agg(F.min("u").alias("p"), F.count(F.lit(1)).alias("n")), "greedy-earlier")
+    several = earlier.filter("n > 1").select(F.col("v").alias("p"))
+    chain = earlier.filter("n = 1").select("v", "p", F.lit(True).alias("odd"))
+    while True:
+        nxt = chain.select(F.col("v").alias("p"), F.col("p").alias("p2"), F.col("odd").alias("odd2"))
+        chain = written(chain.join(nxt, "p", "left").select(
+            "v", F.coalesce("p2", "p").alias("p"), (F.col("odd") != F.coalesce("odd2", F.lit(False))).alias("odd"),
+            F.col("p2").isNotNull().alias("moved")), "greedy-chain")
+        if chain.filter("moved").isEmpty():
+            break
+        chain = chain.drop("moved")
+    start = edges.select(F.col("u").alias("name")).distinct().join(
+        earlier.select(F.col("v").alias("name")), "name", "left_anti")
+    return start.unionByName(chain.filter("NOT odd").join(several, "p", "left_anti").select(F.col("v").alias("name")))
+
+
+def _dropped(edges: DataFrame, task_edges: int) -> DataFrame:
+    """Names (v) next to an earlier representative, by rounds over the undecided edges.
+
+    Each round decides in parallel whatever follows from names without an earlier undecided
+    neighbour, chains of any length included, and in one task the prefix of the order that
+    ``task_edges`` edges allow; representatives push their neighbours out, and only edges between
+    undecided names go on. What ``task_edges`` edges hold at the end is decided in one task."""
+    gone = None
+    while True:
+        left = edges.count()
+        if not left:
+            break
+        if left <= task_edges:
+            reps = _prefix_reps(edges, task_edges + 1)
+        else:
+            reps = _chain_reps(edges)
+            reps = reps.unionByName(_prefix_reps(edges, task_edges)).distinct() if task_edges else reps
+        out = written(edges.join(reps.withColumnRenamed("name", "u"), "u", "left_semi").select("v").distinct(),
+                      "greedy-dropped")
+        gone = out if gone is None else gone.unionByName(out)
+        if left <= task_edges:
+            break
+        edges = written(edges.join(out, "v", "left_anti").join(out.withColumnRenamed("v", "u"), "u", "left_anti"),
+                        "greedy-edges")
+    return edges.select("v").limit(0) if gone is None else gone
 
 
 def greedy_clusters(names: DataFrame, pairs: DataFrame, order_col: str = "ord", name_col: str = "name",
                     task_edges: int = 200_000) -> DataFrame:
-    """Greedy star clusters in ``order_col`` order; returns ``(name, rep, is_rep)``.
+    """Greedy star clusters in ``order_col`` order (ties by name); returns ``(name, rep, is_rep)``.
 
-    Clusters do not reach over components of the pair graph. A component of at most
-    ``task_edges`` edges is clustered in one task, name by name, however long its chains
-    are; larger ones by rounds over the edge table. Both give the same result."""
+    A pair graph of at most ``task_edges`` edges is decided in one task, name by name; a larger
+    one by rounds (see ``_dropped``). Both give the same result."""
     nodes = names.select(F.col(name_col).alias("name"), F.col(order_col).alias("ord"))
-    e = pairs.select(F.col("name_a").alias("u"), F.col("name_b").alias("v"))
-    edges = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    o = nodes.select(F.col("name").alias("v"), F.col("ord").alias("ord_v"))
-    edges = edges.join(o, "v").join(o.select(F.col("v").alias("u"), F.col("ord_v").alias("ord_u")), "u")
-    edges = cut_lineage(edges)
-    comp = components(edges.select(F.col("u").alias("a"), F.col("v").alias("b")))
-    edges = edges.join(comp.withColumnRenamed("node", "v"), "v")
-    size = edges.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    edges = cut_lineage(edges.join(size, "component"))
-    small = (edges.filter(F.col("n") <= task_edges).select("component", "u", "v", "ord_u", "ord_v")
-             .groupBy("component").applyInPandas(
-                 lambda pdf: _greedy_component(pdf), "name string, rep string, is_rep boolean"))
-    large = edges.filter(F.col("n") > task_edges).select("u", "v", "ord_u", "ord_v")
-    large_nodes = nodes.join(large.select(F.col("v").alias("name")).distinct(), "name", "left_semi")
-    alone = nodes.join(edges.select(F.col("v").alias("name")), "name", "left_anti").select(
-        "name", F.col("name").alias("rep"), F.lit(True).alias("is_rep"))
-    return small.unionByName(_greedy_rounds(large_nodes, large)).unionByName(alone)
+    e = pairs.select(F.col("name_a").alias("a"), F.col("name_b").alias("b")).filter("a <> b")
+    e = (e.join(nodes.select(F.col("name").alias("a"), F.struct("ord", "name").alias("oa")), "a")
+         .join(nodes.select(F.col("name").alias("b"), F.struct("ord", "name").alias("ob")), "b"))
+    lo, hi = F.least("oa", "ob"), F.greatest("oa", "ob")
+    edges = e.select(lo["name"].alias("u"), hi["name"].alias("v"), lo["ord"].alias("ord_u"),
+                     hi["ord"].alias("ord_v")).distinct()
+    edges = written(edges, "greedy-edges")
+    gone = _dropped(edges, task_edges).withColumnRenamed("v", "u")
+    best = (edges.join(gone, "u", "left_anti").groupBy("v")
+            .agg(F.min(F.struct("ord_u", "u"))["u"].alias("rep")).withColumnRenamed("v", "name"))
+    return nodes.join(best, "name", "left").select(
+        "name", F.coalesce("rep", "name").alias("rep"), F.col("rep").isNull().alias("is_rep"))
 
 
 def resolve_collisions(clusters: DataFrame, synonyms: DataFrame, pairs: DataFrame, order: DataFrame) -> DataFrame:
