@@ -7,6 +7,8 @@ arrived since the last one and a restarted run resumes where it stopped.
 """
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,29 +45,44 @@ def ingest_new(spark: SparkSession, feed_dir: str, schema, target: str, checkpoi
 
 
 # ---- W6 ------------------------------------------------------------------------------
+STATE = "company string, canonical_title string, last_date date"
+
+
+def last_days(spark: SparkSession, state_dir: str, epoch_id: int, earliest: date | None, window_days: int) -> DataFrame:
+    """(company, canonical_title, last_date) of the epochs before ``epoch_id``: the last day of each key that
+    has one in the months within reach of rows dated ``earliest`` or later (None: no dated rows, no state)."""
+    if earliest is None or not _exists(spark, state_dir):
+        return spark.createDataFrame([], STATE)
+    reach = (earliest - timedelta(days=window_days)).replace(day=1)
+    log = spark.read.schema(f"{STATE}, epoch int, month date").parquet(state_dir)
+    log = log.where((F.col("epoch") < epoch_id) & (F.col("month") >= F.lit(reach)))
+    return log.groupBy("company", "canonical_title").agg(F.max("last_date").alias("last_date"))
+
+
 def dedup_stream_run(spark: SparkSession, feed_dir: str, schema, target: str, checkpoint: str,
                      state_dir: str, window_days: int = WINDOW_DAYS) -> None:
     """The 30-day chained flag over newly arrived files.
 
-    The state that later drops need is one row per (company, title): its last day. Each
+    The state that later drops need is one date per (company, title): its last day. Each
     micro-batch flags its rows like the batch operator, over the table of distinct days per
     key with the state's day as the one before; a day's first posting is compared with the
-    day before, every other one is a duplicate. So no group of rows is gathered anywhere, and
-    rows without a company never enter a group. The chain runs forward in time: a row dated before the last
-    day that earlier epochs hold for its key is late; it goes to ``<target>_late`` (posting_id, date, last_date)
-    instead of being flagged, and leaves the state as it is. A new version of the state is written per epoch;
-    a repeated epoch reads the version before its own and overwrites its own output."""
+    day before, every other one is a duplicate. So no group of rows is gathered anywhere (a hot
+    company is as many rows as it has days), and rows without a company never enter a group.
+
+    An epoch appends the last days of the keys it touched, under ``epoch=N/month=YYYY-MM-01``; nothing
+    else is rewritten. A later epoch reads only the months from ``window_days`` before its earliest
+    row on: an older day neither makes a duplicate nor a late row, so it is out of date. The chain runs
+    forward in time: a row dated before the last day that earlier epochs hold for its key is late; it goes
+    to ``<target>_late`` (posting_id, date, last_date) instead of being flagged, and leaves the state as it
+    is. A repeated epoch reads epochs before its own only and overwrites its own output and state."""
     stream = spark.readStream.schema(schema).option("basePath", feed_dir).parquet(feed_dir)
     keys = ["company", "canonical_title"]
 
     def flag(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        before = f"{state_dir}/v={epoch_id - 1}"
         rows = batch.select("posting_id", *keys, "date")
         valid = F.col("company").isNotNull() & F.col("canonical_title").isNotNull() & F.col("date").isNotNull()
-        last = "company string, canonical_title string, last_date date"
-        state = (session.read.schema(last).parquet(before) if _exists(session, before)
-                 else session.createDataFrame([], last))
+        state = last_days(session, state_dir, epoch_id, rows.filter(valid).agg(F.min("date")).first()[0], window_days)
         days = rows.filter(valid).groupBy(*keys, "date").agg(F.min("posting_id").alias("_first")).join(state, keys, "left")
         passed = F.coalesce(F.col("date") < F.col("last_date"), F.lit(False))
         late = rows.join(days.where(passed).select(*keys, "date", "last_date"), [*keys, "date"])
@@ -78,9 +95,9 @@ def dedup_stream_run(spark: SparkSession, feed_dir: str, schema, target: str, ch
                .otherwise(F.coalesce(F.datediff("date", "_prev") <= window_days, F.lit(False))))
         (flagged.select("posting_id", dup.alias("is_duplicate"))
          .write.mode("overwrite").parquet(f"{target}/epoch={epoch_id}"))
-        now = state.unionByName(days.select(*keys, F.col("date").alias("last_date")))
-        newest = now.groupBy(*keys).agg(F.max("last_date").alias("last_date"))
-        newest.write.mode("overwrite").parquet(f"{state_dir}/v={epoch_id}")
+        touched = days.groupBy(*keys).agg(F.max("date").alias("last_date"))
+        (touched.withColumn("month", F.trunc("last_date", "month")).repartition("month")
+         .write.mode("overwrite").partitionBy("month").parquet(f"{state_dir}/epoch={epoch_id}"))
 
     q = (stream.writeStream.foreachBatch(flag).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -35,6 +35,29 @@ def test_late_rows_go_to_the_side(spark, tmp_path):
     assert {r.posting_id: r.is_duplicate for r in spark.read.parquet(target).collect()}["j"]
 
 
+def test_state_holds_touched_keys_and_reads_months_within_reach(spark, tmp_path):
+    feed, target, ckpt, state = (str(tmp_path / n) for n in ("feed", "out", "ckpt", "state"))
+    run = lambda: ST.dedup_stream_run(spark, feed, SCHEMA, target, ckpt, state)
+    _drop(spark, feed, [(f"a{i}", f"c{i}", "1999-01-15") for i in range(50)])
+    run()
+    _drop(spark, feed, [(f"b{i}", "hot", f"2000-03-{1 + i % 28:02}") for i in range(500)] + [("b", "c1", "2000-03-31")])
+    run()
+    _drop(spark, feed, [("c", "hot", "2000-04-20"), ("d", "c1", "2000-04-30"), ("e", "c2", "2000-04-30"), ("f", "hot", "2000-07-01")])
+    run()
+    log = spark.read.parquet(state)
+    assert {r.epoch: r["count"] for r in log.groupBy("epoch").count().collect()} == {0: 50, 1: 2, 2: 3}
+    got = {r.posting_id: r.is_duplicate for r in spark.read.parquet(target).collect()}
+    assert [got[k] for k in "bcdef"] == [False, True, True, False, False]
+    assert sum(not got[f"b{i}"] for i in range(500)) == 1
+    reach = ST.last_days(spark, state, 2, dt.date(2000, 4, 20), 30)
+    assert sorted(map(tuple, reach.collect())) == [("c1", "t", dt.date(2000, 3, 31)), ("hot", "t", dt.date(2000, 3, 28))]
+    plan = reach._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "month" in plan.split("PartitionFilters")[1][:200]
+    # a repeated epoch sees neither its own state nor later ones
+    assert {r.last_date for r in ST.last_days(spark, state, 1, dt.date(1999, 1, 1), 30).collect()} == {dt.date(1999, 1, 15)}
+    assert ST.last_days(spark, state, 3, None, 30).isEmpty()
+
+
 def test_first_slot_in_file_order(spark, tmp_path):
     rows = [("genai", "Zeta", "gizmo"), ("genai", "Alpha", "gizmo"), ("genai", "Alpha", "x"), ("other", "Beta", "gizmo"), ("genai", "Q, \"q\"", "y")]
     df = spark.createDataFrame(rows, "category string, slot string, pattern string").coalesce(1)
