@@ -33,11 +33,12 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2,
-           with_ids: bool = False) -> DataFrame:
+           with_ids: bool = False, cache_bytes: int = 40 << 20) -> DataFrame:
     """Encode each ``text``, append ``end_id`` and cut: one row per piece (without
-    ``with_ids`` the ids stay in the task that made them)."""
+    ``with_ids`` the ids stay in the task that made them). ``cache_bytes`` bounds what a
+    worker remembers of the chunks it has met; it moves no id."""
     def encode(batches):
-        tok = CachedTokenizer(tokenizer)
+        tok = CachedTokenizer(tokenizer, max_bytes=cache_bytes)
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             for lo in range(0, b.num_rows, 256):
