@@ -44,7 +44,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    # executors hold what earlier stages left in the JVM: a smaller cache of chunks than the operator's own
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), cache_bytes=10 << 20))
 
 
 STAGES = [("language", language), ("dedup", dedup), ("private", private), ("mix", mix), ("pack", pack)]
