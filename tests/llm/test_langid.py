@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from hirelens.llm import langid
@@ -33,12 +34,37 @@ def test_automaton_holds_every_substring():
 
 
 def test_phrases_against_substring_search():
-    training = {"en": " the cat sat on the mat ", "xx": " ñandú über straße "}
-    m = langid.Model(training)
-    words = ["the", "cat", "thecat", "zzz", "ñan", "straße", "q", "matmat", "漢字"]
-    got = m.phrases(words)
-    for w, row in zip(words, got):
-        assert list(row) == [longest_phrases(f" {w} ", training[x]) for x in m.langs]
+    training = {"en": " the cat sat on the mat \n cats and dogs \n", "xx": " ñandú über straße \n"}
+    p = langid.Parser(langid.Model(training))
+    texts = ["the cat", "The... CAT sat, on 12 mats", "thecat", "zzz", "ñan and ÜBER straße", "q", "mat cats", "漢字 𝒳𐐀", "mat\ncats"]
+    total, size = p.totals(iter([*texts, None, "", "12 -"]), len(texts) + 3)
+    for t, row, n in zip(texts, total, size):
+        run = langid.spaced(t)
+        assert n == len(run)
+        assert list(row) == [longest_phrases(run, training[x]) for x in p.model.langs]
+    assert not size[-3:].any() and not total[-3:].any()
+
+
+def test_phrases_reach_over_words():
+    m = langid.Model({"a": " one two three ", "b": " three one two "})
+    total, _ = langid.Parser(m).totals(["one two three"], 1)
+    assert list(total[0]) == [1, 2]
+
+
+def test_long_text_is_parsed_whole(monkeypatch):
+    training = {"de": " der Hund und die Katze \n".lower(), "en": " the dog and the cat \n"}
+    monkeypatch.setattr(langid, "SPAN", 64)
+    monkeypatch.setattr(langid, "BLOCK", 500)
+    p = langid.Parser(langid.Model(training))
+    text = "the cat and the dog " * 10 + "der Hund und die Katze " * 400
+    total, size = p.totals([text], 1)
+    want = np.zeros(2, int)
+    for lo in range(0, len(text), 500):
+        run = langid.spaced(text[lo:lo + 500])
+        for at in range(0, len(run), 64):
+            want += [longest_phrases(run[at:at + 64], training[x]) for x in p.model.langs]
+    assert list(total[0]) == list(want)
+    assert p.predict([text], 1)[0] == ["de"]
 
 
 def test_held_out_accuracy(spark):
@@ -50,13 +76,12 @@ def test_held_out_accuracy(spark):
     assert out.where("score < 0 OR score > 1").count() == 0
 
 
-def test_text_bound_is_a_parameter(make_docs):
-    docs = make_docs([(1, "shared words " * 200 + "der Hund und die Katze", "de"), (2, "shared words " * 200 + "the dog and the cat", "en")])
+def test_shared_words_in_front_hide_no_language(make_docs):
+    front = "shared words " * 2000
+    docs = make_docs([(1, front + "der Hund und die Katze", "de"), (2, front + "the dog and the cat", "en")])
     own = make_docs([(3, "der Hund", None), (4, "the dog", None)])
-    got = {r.doc_id: r.lang_pred for r in langid.predict(own, langid.train(docs, text_chars=5000)).collect()}
+    got = {r.doc_id: r.lang_pred for r in langid.predict(own, langid.train(docs)).collect()}
     assert got == {3: "de", 4: "en"}
-    short = langid.predict(own, langid.train(docs))                          # only the shared words were read
-    assert len({r.lang_pred for r in short.collect()}) == 1
 
 
 def test_edges(make_docs):
