@@ -46,7 +46,7 @@ def src_csv(spark, sf):
     with an explicit schema; the row position in file order becomes the id."""
     raw = fx.postings_raw(spark, sf, with_text=True).orderBy("native_id")
     path = IO.scratch_path(spark, "raw_csv")
-    (raw.write.mode("overwrite").option("header", True).option("escape", '"')
+    (raw.write.mode("overwrite").option("header", True).option("escape", '"').options(**IO.GZIP)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     back = (spark.read.schema(RAW_CSV_SCHEMA).option("header", True).option("multiLine", True)
             .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
