@@ -66,11 +66,13 @@ clusters AS MATERIALIZED (
 
 
 def name_synonyms(spark, sf):
-    """(name, synonym): case-folded name and each original spelling."""
+    """(name, synonym): case-folded name and each original spelling. Every step of these queries reads
+    it, so the texts are cut into words once and the table is persisted in the shared checkpoint folder."""
     words = fx.table(spark, sf, "documents").select(
         F.explode(F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), 1)).alias("synonym"))
     parts = fx.table(spark, sf, "part").select(F.col("p_name").alias("synonym"))
-    return words.unionByName(parts).select(F.lower("synonym").alias("name"), "synonym").distinct()
+    return persisted(spark, sf, "name_synonyms", lambda: words.unionByName(parts).select(
+        F.lower("synonym").alias("name"), "synonym").distinct())
 
 
 def names(spark, sf):
