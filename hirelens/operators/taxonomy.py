@@ -76,10 +76,11 @@ def attach_skills(postings: DataFrame, skills: DataFrame) -> DataFrame:
 def subcategory(categories: DataFrame, slots: DataFrame) -> DataFrame:
     """Named slot when lower(trim(name)) is one of its category's patterns,
     else the category's fallback (``Other <Title Case>`` for unknown categories). ``slots``:
-    (seq, category, slot, pattern); of slots with one pattern the first by seq (then name) counts."""
+    ([seq], category, slot, pattern); of slots with one pattern the first by seq (then name) counts."""
     c = categories.withColumn("_key", F.lower(F.trim("canonical_name")))
+    order = [c for c in ("seq", "slot") if c in slots.columns]
     s = slots.groupBy(F.col("category").alias("_scat"), F.col("pattern").alias("_key")).agg(
-        F.min(F.struct("seq", "slot"))["slot"].alias("slot"))
+        F.min(F.struct(*order))["slot"].alias("slot"))
     j = c.join(s, (c.category == F.col("_scat")) & (c._key == s._key), "left")
     fb_map = F.create_map(*[F.lit(x) for kv in FALLBACK_SUBCATEGORY.items() for x in kv])
     generic = F.concat(F.lit("Other "), F.initcap(F.replace(F.col("category"), F.lit("_"), F.lit(" "))))
