@@ -25,7 +25,8 @@ def global_positions(df: DataFrame, order_cols, name: str = "row_id") -> DataFra
     counts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.select("_b", F.coalesce(F.sum("_n").over(
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return d.join(offs, "_b").select((F.col("_off") + F.col("_i")).cast("long").alias(name), *df.columns)
+    # one row per range, to every task: the rows themselves stay where they are
+    return d.join(F.broadcast(offs), "_b").select((F.col("_off") + F.col("_i")).cast("long").alias(name), *df.columns)
 
 
 def make_batches(df: DataFrame, order_cols, size: int, name: str = "batch") -> DataFrame:
@@ -38,10 +39,13 @@ def batch_payloads(batched: DataFrame, key: str, value: str, batch: str = "batch
     """Per batch, one JSON object ``{key: value}`` (keys sorted); batches are bounded. Of rows that repeat a
     key in a batch the one with the largest value counts; rows without a key are left out (see
     ``payload_rejects``)."""
-    one = batched.where(F.col(key).isNotNull()).groupBy(batch, key).agg(F.max(value).alias(value))
-    g = one.groupBy(batch).agg(F.count(F.lit(1)).alias("n_items"),
-                               F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value)))).alias("_m"))
-    return g.select(batch, "n_items", F.to_json("_m").alias("payload"))
+    # values travel once, to their batch
+    rows = batched.where(F.col(key).isNotNull()).select(batch, key, value).repartition(batch)
+    g = rows.groupBy(batch).agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(value).alias("v")))).alias("_s"))
+    # sorted by key, then value: the last of each key
+    last = F.filter("_s", lambda x, i: F.coalesce(F.get("_s", i + 1)["k"] != x["k"], F.lit(True)))
+    g = g.select(batch, F.map_from_entries(last).alias("_m"))
+    return g.select(batch, F.size("_m").cast("long").alias("n_items"), F.to_json("_m").alias("payload"))
 
 
 def payload_rejects(batched: DataFrame, key: str, batch: str = "batch") -> DataFrame:

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from hirelens.functions import dates
 from hirelens.functions.rules import DS_TITLES
-from hirelens.functions.text import first_location
+from hirelens.functions.text import first_location, text_or_empty
 from hirelens.operators import batching as B
 from hirelens.operators import clean as C
 from hirelens.operators import parse as P
 from hirelens.operators import taxonomy as TX
-from hirelens.plans.base import clean_postings, final_postings, skills_long, unified_postings
+from hirelens.plans.base import clean_documents, clean_postings, final_postings, skills_long, unified_postings, with_description
 from hirelens.plans.q_text import sql_html_strip
 from hirelens.plans.registry import _in, register, sql_geo, sql_seniority, sql_title, with_views
 from hirelens.sources import feeds as FD
@@ -265,8 +265,9 @@ def cross_role_skills(spark, sf):
 
 # ---- W2 / W3 / J7 / W4 -----------------------------------------------------------------
 def _batched(spark, sf, with_text=False):
-    c = clean_postings(spark, sf, with_text=with_text)
-    return B.make_batches(c, "posting_id", BATCH)
+    # postings are numbered without their texts, which join the numbered rows
+    b = B.make_batches(clean_documents(spark, sf), "posting_id", BATCH)
+    return with_description(spark, sf, b) if with_text else b.drop("_doc", "_copy")
 
 
 @register("make_batches", with_views("clean", body=f"""
@@ -304,7 +305,7 @@ SELECT posting_id, source, company, canonical_title, date FROM unified WHERE is_
 ORDER BY md5('42:' || posting_id), posting_id LIMIT 20"""))
 def spot_check(spark, sf, n: int = 20, seed: int = 42):
     """Seeded sample of flagged duplicates for manual review."""
-    u = final_postings(spark, sf).filter(F.col("is_duplicate"))
+    u = final_postings(spark, sf, with_text=False).filter(F.col("is_duplicate"))
     return B.seeded_sample(u, "posting_id", n, seed).select("posting_id", "source", "company", "canonical_title",
                                                             "date")
 
