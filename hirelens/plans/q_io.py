@@ -148,30 +148,32 @@ def feeds_to_unified(spark, sf):
     IO.write_csv(own.repartitionByRange("native_id").sortWithinPartitions("native_id").select(
         F.col("raw_title").alias("Job Title"), F.col("description_text").alias("Job Description"),
         F.concat("company", F.lit("\n3.9")).alias("Company Name"), F.col("location").alias("Location"),
-        F.lit(3.9).alias("Rating")), a)
+        F.lit(3.9).alias("Rating")), a, **IO.GZIP)
     IO.write_csv(raw.filter(F.col("source") == "network_b").select(
         F.col("native_id").alias("job_id"), F.col("raw_title").alias("title"), F.col("company").alias("company_name"),
         F.col("description_text").alias("description"), "location",
         F.col("level_hint").alias("formatted_experience_level"),
-        (F.unix_date("date") * F.lit(86_400_000).cast("long") + 43_200_000).cast("string").alias("listed_time")), b)
+        (F.unix_date("date") * F.lit(86_400_000).cast("long") + 43_200_000).cast("string").alias("listed_time")), b, **IO.GZIP)
     html = F.concat(F.lit("<p>"), F.replace(F.replace("description_text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
                     F.lit("</p>"))
     iso = F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("T12:00:00Z"))
     ats = raw.filter(F.col("source") == "ats_c")
     ats.filter("native_id % 2 = 0").select(
         F.col("native_id").alias("id"), F.col("raw_title").alias("title"), html.alias("description_html"),
-        F.col("company").alias("source_slug"), F.array("location").alias("locations"), iso.alias("posted_at")).write.parquet(f"{c}/one")
+        F.col("company").alias("source_slug"), F.array("location").alias("locations"), iso.alias("posted_at")).write.option("compression", "zstd").parquet(f"{c}/one")
     ats.filter("native_id % 2 = 1").select(
         F.col("native_id").alias("external_id"), F.col("raw_title").alias("job_title"), html.alias("content"),
-        F.col("company").alias("company_name"), F.col("location"), iso.alias("updated_at")).write.parquet(f"{c}/two")
+        F.col("company").alias("company_name"), F.col("location"), iso.alias("updated_at")).write.option("compression", "zstd").parquet(f"{c}/two")
 
     frames = [FD.undated_csv(IO.read_csv(spark, a, FD.UNDATED_CSV), "board_a", FEED_ANCHOR),
               FD.epoch_csv(IO.read_csv(spark, b, FD.EPOCH_CSV), "network_b"),
               FD.drifting_parquet(IO.read_tagged_union(spark, {"one": f"{c}/one", "two": f"{c}/two"}), "ats_c")]
-    frames = [f.withColumn("native_id", F.col("native_id").cast("string")) for f in frames]
+    # the digest is all that is asked of a text: taken where the text is read, so that no later step moves texts
+    digest = F.md5(text_or_empty("description_text").cast("binary"))
+    frames = [f.withColumn("native_id", F.col("native_id").cast("string")).withColumn("description_text", digest) for f in frames]
     u = C.unify(C.union_sources(frames), fx.VALID_YEARS)
     return u.select("posting_id", "source", "date", "canonical_title", "company", "seniority",
-                    F.md5(F.col("description_text").cast("binary")).alias("text_md5"), "is_duplicate")
+                    F.col("description_text").alias("text_md5"), "is_duplicate")
 
 
 # ---- S5 / S6 / S7 ----------------------------------------------------------------------

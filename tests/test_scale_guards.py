@@ -1,5 +1,7 @@
 """Inputs that the fixtures avoid: long chains, hot keys, whole texts, missing settings."""
 import datetime as dt
+import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from hirelens.operators import graph
 from hirelens.plans import base
 from hirelens.sources import fixtures as fx
 from hirelens.streaming import ingest as ST
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 
 
 def _chain(spark, n):
@@ -99,3 +101,48 @@ def test_a_broken_target_is_an_error(spark, tmp_path):
     (target / "part-0.parquet").write_text("not parquet")
     with pytest.raises(Exception):
         ST.ingest_new(spark, str(feed), "posting_id string, date date, source string", str(target), str(tmp_path / "c"), lambda b: b)
+
+
+def _shuffled(spark, df):
+    """Columns that the exchanges of a plan carry, by exchange."""
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = df._jdf.queryExecution().explainString(mode)
+    return re.findall(r"\) Exchange\s*\nInput \[\d+\]: \[(.*?)\]\n", plan)
+
+
+def test_analyses_read_a_table_without_texts(spark):
+    assert "description_text" not in base._skilled_postings(spark, SF01).columns
+    assert "description_text" not in base.clean_postings(spark, SF01).columns
+    # texts join on reading, and a table may be built from another persisted one
+    a = base.clean_postings(spark, SF01, with_text=True).select("posting_id", "description_text")
+    b = base.final_postings(spark, SF01).select("posting_id", "description_text")
+    assert a.count() and a.exceptAll(b).isEmpty()
+
+
+def test_repeated_document_ids_repeat_their_postings(spark, tmp_path):
+    docs = [(0, "a"), (0, "b"), (1, "c"), (None, "d")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    df = spark.createDataFrame([("s:4",), ("s:1",), ("s:2",)], "posting_id string")
+    got = base.with_description(spark, str(tmp_path), base.with_document(spark, str(tmp_path), df))
+    assert sorted(map(tuple, got.collect())) == [("s:1", "c"), ("s:2", ""), ("s:4", "a"), ("s:4", "b")]
+
+
+def test_payload_values_travel_once(spark):
+    rows = spark.createDataFrame([(0, "a", "x"), (0, "a", None), (0, "b", None), (1, None, "y"), (1, "c", "z")],
+                                 "batch long, id string, t string")
+    out = B.batch_payloads(rows, "id", "t")
+    assert len(_shuffled(spark, out)) == 1
+    got = {r.batch: (r.n_items, json.loads(r.payload)) for r in out.collect()}
+    assert got[1] == (1, {"c": "z"}) and got[0][0] == 2 and got[0][1]["a"] == "x"
+
+
+def test_numbered_rows_stay_where_they_are(spark):
+    at = B.global_positions(spark.createDataFrame([(i, "t") for i in range(9)], "k int, text string"), "k")
+    assert not any("text" in columns for columns in _shuffled(spark, at))
+
+
+def test_feeds_move_no_texts(spark):
+    from hirelens.plans.registry import QUERIES
+
+    carried = _shuffled(spark, QUERIES["feeds_to_unified"](spark, SF001))
+    assert carried and not any(re.search(r"\b(Job Description|description|content|description_html)#", c) for c in carried)
