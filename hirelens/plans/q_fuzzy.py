@@ -71,12 +71,15 @@ def name_synonyms(spark, sf):
     words = fx.table(spark, sf, "documents").select(
         F.explode(F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), 1)).alias("synonym"))
     parts = fx.table(spark, sf, "part").select(F.col("p_name").alias("synonym"))
-    return persisted(spark, sf, "name_synonyms", lambda: words.unionByName(parts).select(
-        F.lower("synonym").alias("name"), "synonym").distinct())
+    # spellings are made distinct before they are folded
+    return persisted(spark, sf, "name_synonyms", lambda: words.unionByName(parts).distinct().select(
+        F.lower("synonym").alias("name"), "synonym"))
 
 
 def names(spark, sf):
-    return name_synonyms(spark, sf).select("name").distinct().withColumn("ord", F.col("name"))
+    """(name, ord), persisted: the pairs, the clusters and their winners read it."""
+    return persisted(spark, sf, "names", lambda: name_synonyms(spark, sf).select("name").distinct()).withColumn(
+        "ord", F.col("name"))
 
 
 def _pairs(spark, sf):
@@ -120,6 +123,5 @@ def resolve_collisions(spark, sf):
     n = names(spark, sf)
     p = _pairs(spark, sf)
     cl = FZ.greedy_clusters(n, p)
-    out = FZ.resolve_collisions(cl, name_synonyms(spark, sf), p, n.select("name", "ord"))
-    return out.filter(F.col("n_members") > 1).select("rep", "winner", "n_members",
-                                                     F.array_join("synonyms", "|").alias("synonyms"))
+    out = FZ.resolve_collisions(cl, name_synonyms(spark, sf), p, n.select("name", "ord"), min_members=2)
+    return out.select("rep", "winner", "n_members", F.array_join("synonyms", "|").alias("synonyms"))
