@@ -57,3 +57,25 @@ def test_no_aliases_and_no_texts(spark):
     docs = spark.createDataFrame([(1, "spark"), (2, None)], "doc_id long, text string")
     assert X.extract_skills(docs, empty).collect() == []
     assert X.extract_skills(docs.limit(0), spark.createDataFrame(TAX, "canonical string, alias string")).collect() == []
+
+
+def test_no_token_travels_to_the_index(spark):
+    """A taxonomy whose size Spark cannot tell beforehand is written first, so the lookups are planned as broadcasts."""
+    docs = spark.createDataFrame([(1, "Spark and machine learning")], "doc_id long, text string")
+    found = X.looked_up(docs, spark.createDataFrame(TAX, "canonical string, alias string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert {r.gram for r in found.collect()} == {"spark", "machine learning"}
+
+
+def test_tokens_in_one_pass(spark):
+    from itertools import product
+
+    from pyspark.sql import functions as F
+
+    from hirelens.functions.text import TOKEN_EDGES, TOKEN_PATTERN
+    texts = ["".join(x) for x in product(".-a+ ", repeat=6)] + ["C++, .NET/CI/CD' 'Node.js. é́x ß½ 𝒳y ...", None, ""]
+    df = spark.createDataFrame([(x,) for x in texts], "text string")
+    raw = F.regexp_extract_all("text", F.lit(f"({TOKEN_PATTERN})"), F.lit(1))
+    want = F.filter(F.transform(raw, lambda x: F.regexp_replace(x, TOKEN_EDGES, "")), lambda x: x != "")
+    assert df.where(~want.eqNullSafe(skill_tokens("text"))).isEmpty()
