@@ -2,6 +2,8 @@
 occupation crosswalk (J11, J12) and response parsing (P1-P3)."""
 from __future__ import annotations
 
+from contextlib import ExitStack, contextmanager
+
 from pyspark.sql import functions as F
 
 from hirelens.functions import dates
@@ -38,22 +40,46 @@ RAW_CSV_SCHEMA = ("native_id long, source string, raw_title string, location str
                   "company string, date date, description_text string")
 
 
+@contextmanager
+def _raw_slices(spark, sf):
+    """A function that gives the raw postings, with their texts, under a condition: slices of ascending ids."""
+    ids = fx.postings_raw(spark, sf, with_text=False)
+    texts = fx.document_texts(spark, sf)
+    mean = texts.agg(F.avg(F.octet_length("description_text"))).first()[0] or 0.0
+    with ExitStack() as stack:
+        if IO.slice_count(spark, ids.count(), mean) > 1:
+            texts = stack.enter_context(IO.bucketed(texts, "_doc", "texts"))
+        raw = fx.postings_raw(spark, sf, texts=texts)
+
+        def slices(where=F.lit(True)):
+            some = ids.where(where)
+            n = IO.slice_count(spark, some.count(), mean)
+            return [raw.where(where & part) for part in IO.key_slices(some, "native_id", n)]
+
+        yield slices
+
+
 @register("src_csv", with_views("postings_raw", body="""
 SELECT row_number() OVER (ORDER BY native_id) - 1 AS row_id, native_id, source, raw_title, company,
        CAST(length(description_text) AS BIGINT) AS desc_chars FROM postings_raw"""))
 def src_csv(spark, sf):
     """Raw postings written as multi-line CSV (texts hold newlines), read back
-    with an explicit schema; the row position in file order becomes the id."""
-    raw = fx.postings_raw(spark, sf, with_text=True).orderBy("native_id")
-    path = IO.scratch_path(spark, "raw_csv")
-    (raw.write.mode("overwrite").option("header", True).option("escape", '"').options(**IO.GZIP)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
-    back = (spark.read.schema(RAW_CSV_SCHEMA).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False).csv(path))
-    back = IO.with_row_position(back, "row_id")
-    return back.select("row_id", "native_id", "source", "raw_title", "company",
-                       F.char_length("description_text").cast("long").alias("desc_chars"))
+    with an explicit schema; the row position in file order becomes the id. Slices of ascending
+    ids are written and read in turn."""
+    def write(raw, path):
+        (raw.orderBy("native_id").write.option("header", True).option("escape", '"').options(**IO.GZIP)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+    def read(path):
+        back = (spark.read.schema(RAW_CSV_SCHEMA).option("header", True).option("multiLine", True)
+                .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+                .option("ignoreTrailingWhiteSpace", False).csv(path))
+        return IO.row_places(back).select("native_id", "source", "raw_title", "company",
+                                          F.char_length("description_text").cast("long").alias("desc_chars"), "_file", "_mid")
+
+    with _raw_slices(spark, sf) as slices:
+        back = IO.through_files(spark, slices(), write, read, "raw_csv")
+    return IO.with_row_position(back, "row_id")
 
 
 # ---- S3 / S4 -------------------------------------------------------------------------

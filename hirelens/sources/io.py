@@ -8,6 +8,7 @@ machine-local temp folder.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens.functions.text import last_entries, yaml_scalar
-from hirelens.session import ensure_checkpoint_dir
+from hirelens.session import ensure_checkpoint_dir, shuffles_released
 
 EXTRACTIONS_TYPE = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
 
@@ -25,6 +26,64 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/out/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+# ---- whole texts in slices ---------------------------------------------------
+SLICE_BYTES = 1 << 30     # of text a core, in one slice
+
+
+def slice_count(spark: SparkSession, n_rows: int, mean_bytes: float) -> int:
+    """Slices of ``n_rows`` rows of ``mean_bytes`` each, so that a slice has ``SLICE_BYTES`` a core."""
+    return max(1, -(-int(n_rows * mean_bytes) // (SLICE_BYTES * spark.sparkContext.defaultParallelism)))
+
+
+def key_slices(df: DataFrame, key: str, n: int) -> list:
+    """Conditions that deal the rows to at most ``n`` slices of about as many rows, in ascending order of
+    ``key`` (nulls first); equal keys stay together."""
+    if n == 1:
+        return [F.lit(True)]
+    cuts = df.agg(F.percentile_approx(key, [i / n for i in range(1, n)], 10_000)).first()[0]
+    cuts = sorted({*(cuts or [])})
+    c = F.col(key)
+    if not cuts:
+        return [F.lit(True)]
+    return [c.isNull() | (c <= cuts[0]), *((c > a) & (c <= b) for a, b in zip(cuts, cuts[1:])), c > cuts[-1]]
+
+
+@contextmanager
+def bucketed(df: DataFrame, key: str, name: str):
+    """``df`` dealt to buckets of ``key`` on the shared folder: joins on ``key`` that read it move the other
+    side alone. Rows without a key are left out; the table goes at the end."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with shuffles_released(spark):
+        (df.where(F.col(key).isNotNull()).repartition(n, key).write.bucketBy(n, key)
+         .option("compression", "zstd").option("path", path).saveAsTable(table))
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+        remove_folder(spark, path)
+
+
+def through_files(spark: SparkSession, slices, write, read, name: str) -> DataFrame:
+    """What ``read(path)`` makes of the files that ``write(slice, path)`` makes of each slice, in turn, as one
+    narrow table. A slice's files and shuffles go when it has been read, so the disk holds one slice of
+    texts at a time. Paths ascend with the slices."""
+    files, kept = scratch_path(spark, name), scratch_path(spark, f"{name}_rows")
+    for i, part in enumerate(slices):
+        with shuffles_released(spark):
+            write(part, f"{files}/{i:06d}")
+            read(f"{files}/{i:06d}").write.parquet(f"{kept}/slice={i}")
+        remove_folder(spark, f"{files}/{i:06d}")
+    return spark.read.parquet(kept).drop("slice")
+
+
 # ---- S1/S2: CSV with multi-line fields ---------------------------------------
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Header CSV, quoted fields may hold newlines, explicit schema."""
@@ -56,17 +115,24 @@ def consecutive_ids(df: DataFrame, bucket, order, name: str = "row_id", start: i
     return j.select((F.col("_off") + F.col("_rn") - 1 + start).cast("long").alias(name), *df.columns)
 
 
+def row_places(df: DataFrame) -> DataFrame:
+    """Each row of a scan with its file and an id that rises by one a row inside the file."""
+    return df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_mid", F.monotonically_increasing_id())
+
+
 def with_row_position(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Consecutive 0-based row position in file order (file path, then line order).
     Multi-line CSV files are not splittable, so one file = one split and the
     monotonically increasing id rises by one a row inside a file: a row's position is the
     rows of the files before (one row per file, which every task gets) and the ids since
-    the file's first. The rows themselves do not travel."""
-    d = df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_mid", F.monotonically_increasing_id())
+    the file's first. The rows themselves do not travel. Rows that have their places already
+    (``row_places``, kept in a narrow table) are not looked up in their files again."""
+    d = df if "_mid" in df.columns else row_places(df)
     files = d.groupBy("_file").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (d.join(F.broadcast(files.select("_file", "_first", before.alias("_off"))), "_file")
-            .select((F.col("_off") + F.col("_mid") - F.col("_first")).cast("long").alias(name), *df.columns))
+            .select((F.col("_off") + F.col("_mid") - F.col("_first")).cast("long").alias(name),
+                    *(c for c in df.columns if c not in ("_file", "_mid"))))
 
 
 # ---- S3/S4: tagged multi-file parquet with schema drift ----------------------
