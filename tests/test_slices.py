@@ -51,7 +51,7 @@ def test_csv_in_slices_numbers_rows_in_id_order(spark, tables, monkeypatch):
         value((r.native_id, r.source, r.raw_title, r.company, chars(r.description_text))) for r in raw)
 
 
-@pytest.mark.parametrize("query, files", [("src_csv", ["raw_csv"])])
+@pytest.mark.parametrize("query, files", [("src_csv", ["raw_csv"]), ("feeds_to_unified", ["feed_a", "feed_b", "feed_c"])])
 def test_texts_leave_the_disk_with_their_slice(spark, tables, monkeypatch, query, files):
     before = [_left(spark, x) for x in files]
     tops = []
@@ -98,3 +98,10 @@ def test_equal_and_missing_keys_stay_in_one_slice(spark):
     assert len(parts) > 3 and sum(parts, []) == sorted(map(place, KEYS + [5] * 50))
     none = spark.createDataFrame([(None,)], "k long")
     assert len(IO.key_slices(none, "k", 6)) == 1
+
+
+def test_feeds_in_slices_give_the_same_rows(spark, tables, monkeypatch):
+    whole = sorted(map(str, QUERIES["feeds_to_unified"](spark, tables).collect()))
+    seen = _few_bytes(spark, monkeypatch, 8)
+    assert sorted(map(str, QUERIES["feeds_to_unified"](spark, tables).collect())) == whole and whole
+    assert len(seen) == 3 and all(len(x) > 1 for x in seen)
